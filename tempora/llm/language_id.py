@@ -149,12 +149,14 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """id, `keep` columns, lang_pred, score, n_words and each language's share of words, for every row."""
     spark = docs.sparkSession
     box = spark.sparkContext.broadcast(model)
-    kept = [id_col, *(keep or [])]
+    kept = list(dict.fromkeys([id_col, *(keep or [])]))
+    columns = kept if text_col in kept else [*kept, text_col]
+    at = columns.index(text_col)
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept) + ", lang_pred string, score double, n_letter_words long, lang_shares map<string,double>"
 
     def run(cols):
         model = box.value
-        texts = [t or "" for t in cols[-1]]
+        texts = [t or "" for t in cols[at]]
         for a, b in slices(texts, 1 << 21):
             langs, scores, shares, counts = [], [], [], [0] * (b - a)
             if model.chain is not None:
@@ -173,6 +175,6 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                     langs.append("und")
                     scores.append(0.0)
                     shares.append([])
-            yield [*(c[a:b] for c in cols[:-1]), langs, scores, counts, shares]
+            yield [*(c[a:b] for c in cols[: len(kept)]), langs, scores, counts, shares]
 
-    return map_batches(docs, [*kept, text_col], run, schema)
+    return map_batches(docs, [f"`{c}`" for c in columns], run, schema)

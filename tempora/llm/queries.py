@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm import decontaminate, html_extract, language_id, line_quality, minhash_forest
+from pathlib import Path
+
+from tempora.llm import decontaminate, html_extract, kneser_ney, language_id, line_quality, minhash_forest, packing, pii, sharding, url_filter
 from tempora.llm.common import table
 
 
@@ -40,5 +42,96 @@ def op7_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_forest.join(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "n_copies", "stays")
 
 
-QUERIES = {f.__name__: f for f in (op1_html_crf, op2_fm_index, op5_line_crf, op7_lsh_forest, op8_language_crf)}
-ORACLES: dict[str, str] = {}
+def op3_extendible_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_url_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), url_filter.train(url_filter.labelled(spark)))
+
+
+#: The key of the registered query; a real job passes its own secret.
+PII_KEY = b"a key for examples"
+
+
+def op9_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.anonymise(table(spark, sf_dir, "documents"), PII_KEY, report=True).select("doc_id", "text", "pii_entities", F.array_join("pii_types", ",").alias("pii_types"))
+
+
+def tokenizer_json(path: str | None = None) -> str:
+    """The tokenizer's description; without a path, the public one that the contract names."""
+    if path is None:
+        import public_tokenizers
+
+        path = public_tokenizers.path("word_bpe_49k.json")
+    return Path(path).read_text(encoding="utf-8")
+
+
+def op10_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_json())
+
+
+#: The pipeline drops documents in which the best language has a smaller share of the words.
+LEAST_SHARE = 0.3
+
+
+def in_known_language(docs: DataFrame, least: float = LEAST_SHARE) -> DataFrame:
+    model = language_id.train(language_id.sample(docs.filter(~held_out())))
+    named = language_id.predict(docs, model, keep=docs.columns)
+    return named.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*(f"`{c}`" for c in docs.columns))
+
+
+def one_of_each_group(docs: DataFrame) -> DataFrame:
+    """Rows of equal doc_id and text are one document here."""
+    rows = stored(minhash_forest.join(docs), "groups")
+    keyed = docs.withColumns({"_id": F.col("doc_id"), "_exact": F.xxhash64("text")})
+    same = lambda keys: F.col("_id").eqNullSafe(keys["k_id"]) & (F.col("_exact") == keys["k_exact"])
+    keys = rows.select(F.col("doc_id").alias("k_id"), F.col("exact").alias("k_exact"), "stays")
+    gone = stored(keys.filter(~F.col("stays")).select("k_id", "k_exact").distinct(), "gone")
+    gone = F.broadcast(gone) if gone.count() <= minhash_forest.SMALL_ROWS else gone
+    left = keyed.join(gone, same(gone), "left_anti")
+    again = stored(keys.filter("stays").groupBy("k_id", "k_exact").agg(F.count("*").alias("n")).filter("n > 1").select("k_id", "k_exact"), "again")
+    if again.limit(1).count():  # rows that repeat: the first of each
+        left = left.join(again, same(again), "left_anti").unionByName(left.join(again, same(again), "left_semi").dropDuplicates(["_id", "_exact"]))
+    return left.drop("_id", "_exact")
+
+
+def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    return decontaminate.clean(docs, benchmark)
+
+
+def with_surrogates(docs: DataFrame) -> DataFrame:
+    return pii.anonymise(docs, PII_KEY)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    return packing.pack(docs, tokenizer_json())
+
+
+QUERIES = {f.__name__: f for f in (op1_html_crf, op2_fm_index, op3_extendible_hashing, op4_kneser_ney, op5_line_crf, op6_url_regression, op7_lsh_forest, op8_language_crf, op9_pii_surrogates, op10_bm25_packing)}
+ORACLES: dict[str, str] = {
+    "op2_fm_index": r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+win AS (SELECT DISTINCT item_id, least(10, len(w)) AS n, array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS s
+  FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS i FROM b WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT n FROM win),
+dw AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS i FROM d, sizes WHERE len(w) >= n)),
+hits AS (SELECT doc_id, item_id, i, win.n FROM dw JOIN win ON dw.n = win.n AND dw.s = win.s),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(i, i + n - 1)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(x, ',' ORDER BY x) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS x FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op3_extendible_hashing": """
+WITH r AS (SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) AS BIGINT) AS n_bytes, CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR)), 1, 15)) AS BIGINT) AS h FROM documents),
+bits AS (SELECT doc_id, n_bytes, right(CAST(CAST(h AS BIT) AS VARCHAR), 60) AS s FROM r),
+levels AS (SELECT doc_id, n_bytes, d AS depth, left(s, d) AS shard FROM bits, (SELECT unnest(generate_series(0, 60)) AS d)),
+fits AS (SELECT depth, shard, sum(n_bytes) AS shard_bytes FROM levels GROUP BY depth, shard HAVING sum(n_bytes) <= 1048576)
+SELECT doc_id, n_bytes, shard, CAST(depth AS BIGINT) AS depth, CAST(shard_bytes AS BIGINT) AS shard_bytes
+FROM levels JOIN fits USING (depth, shard) QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1""",
+}
