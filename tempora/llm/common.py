@@ -42,7 +42,7 @@ def slices(texts: Iterable[str], limit: int = SLICE_BYTES) -> Iterator[tuple[int
         if size >= limit:
             yield first, end + 1
             first, size = end + 1, 0
-    if size:
+    if size and first <= end:
         yield first, end + 1
 
 

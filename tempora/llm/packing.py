@@ -20,6 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,36 +34,106 @@ SHARD_TOKENS = 2_000_000
 #: A seed's query: its terms of the greatest weight.
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
-#: Distinct chunks that a task remembers.
-MEMORY = 200_000
-GAPS = str.maketrans("\n\t\r", "   ")
+#: Distinct words, and chunks between blanks, that a task remembers; chunks of over `LONG` characters it doesn't.
+MEMORY, LONG = 1_200_000, 64
+#: Chunks of these characters only are split into words here, and each distinct word is encoded once;
+#: the tokenizer reads other chunks. The characters are stable under NFC and lower-case one by one.
+PLAIN = regex.compile(r"[!-~\u00a1-\u012f\u0131-\u024f\u0391-\u03a1\u03a4-\u03ff\u0400-\u0481\u048a-\u052f\u2010-\u2027\u2030-\u205e\u20ac]*")
+BLANKS = str.maketrans("\n\t\r", "   ")
+
+
+class Words:
+    """Token ids of texts by a lower-casing word-level BPE tokenizer, remembering words."""
+
+    def __init__(self, description: str):
+        from tokenizers import Tokenizer
+
+        parts = json.loads(description)
+        vocab = parts["model"]["vocab"]
+        if len(vocab) > 1 << 16:
+            raise ValueError("ids of more than two bytes")
+        self.whole = Tokenizer.from_str(description)
+        self.special = [t["content"] for t in parts["added_tokens"]]
+        self.pattern = regex.compile(next(p["pattern"]["Regex"] for p in parts["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"))
+        # the model alone, over words that are already in its byte alphabet
+        words = parts | {"normalizer": None, "pre_tokenizer": {"type": "WhitespaceSplit"}, "post_processor": None, "added_tokens": []}
+        self.model = Tokenizer.from_str(json.dumps(words))
+        self.ends = np.zeros(1 << 16, bool)
+        self.ends[[i for w, i in vocab.items() if w.endswith(parts["model"]["end_of_word_suffix"])]] = True
+        shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+        hidden = [b for b in range(256) if b not in shown]
+        self.alphabet = {b: chr(b) for b in shown} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+        self.words: dict[str, bytes] = {}
+        self.chunks: dict[str, bytes] = {}
+
+    def learn_words(self, words: list[str]) -> None:
+        for a in range(0, len(words), 2000):
+            part = words[a : a + 2000]
+            line = " ".join([w.encode().decode("latin-1").translate(self.alphabet) for w in part])
+            ids = np.array(self.model.encode_batch_fast([line], add_special_tokens=False)[0].ids, "<u2")
+            data, at = ids.tobytes(), 0
+            for w, end in zip(part, ((np.flatnonzero(self.ends[ids]) + 1) * 2).tolist(), strict=True):
+                self.words[w] = data[at:end]
+                at = end
+
+    def learn_chunks(self, chunks: list[str]) -> None:
+        """Blanks end words and are dropped, so a text's ids are those of its chunks."""
+        split = []
+        for c in chunks:
+            if not (c.isascii() or PLAIN.fullmatch(c)) or any(x in c for x in self.special if len(x) <= len(c)):
+                split.append(None)
+            elif c.isalpha():
+                split.append((c.lower(),))
+            elif c[:-1].isalpha() and c[-1] in ".,;:!?":
+                split.append((c[:-1].lower(), c[-1]))
+            else:
+                split.append(self.pattern.findall(c.lower()))
+        known = self.words
+        self.learn_words(list({w for words in split if words for w in words if w not in known}))
+        for c, words in zip(chunks, split, strict=True):
+            if words is None:
+                self.chunks[c] = np.array(self.whole.encode(c, add_special_tokens=False).ids, "<u2").tobytes()
+            else:
+                self.chunks[c] = known[words[0]] if len(words) == 1 else b"".join([known[w] for w in words])
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids as two bytes each, with the end id."""
+        if len(self.words) + len(self.chunks) > MEMORY:
+            self.words.clear()
+            self.chunks.clear()
+        split = [t.translate(BLANKS).split(" ") for t in texts]
+        new = [c for c in set().union(*split) if c not in self.chunks]
+        self.learn_chunks(new)
+        end, get = np.array([END], "<u2").tobytes(), self.chunks.__getitem__
+        out = [b"".join(map(get, chunks)) + end for chunks in split]
+        for c in new:
+            if len(c) > LONG:
+                del self.chunks[c]
+        return out
+
+
+_LOADED: dict[int, Words] = {}
+
+
+def words_of(description: str) -> Words:
+    """One tokenizer, with what it remembers, for all tasks of a Python worker."""
+    key = hash(description)
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = Words(description)
+    return _LOADED[key]
 
 
 def tokens(docs: DataFrame, tokenizer_json: str, id_col: str, text_col: str) -> DataFrame:
-    """id, ids (two bytes each, with the end id) for every row. The tokenizer drops white space, so
-    chunks between blanks are encoded once and remembered."""
+    """id, ids (two bytes each, with the end id) for every row."""
     box = docs.sparkSession.sparkContext.broadcast(tokenizer_json)
-    if len(json.loads(tokenizer_json)["model"]["vocab"]) > 1 << 16:
-        raise ValueError("ids of more than two bytes")
     kind = docs.schema[id_col].dataType.simpleString()
-    state: dict = {}
 
     def run(cols):
-        from tokenizers import Tokenizer
-
-        if not state:
-            state["t"], state["m"] = Tokenizer.from_str(box.value), {}
-        texts = [(t or "").translate(GAPS) for t in cols[1]]
-        for a, b in slices(texts):
-            memory = state["m"]
-            if len(memory) > MEMORY:
-                memory.clear()
-            split = [t.split(" ") for t in texts[a:b]]
-            new = list({w for words in split for w in words if w not in memory})
-            for w, e in zip(new, state["t"].encode_batch(new, add_special_tokens=False), strict=True):
-                memory[w] = np.array(e.ids, "<u2").tobytes()
-            end = np.array([END], "<u2").tobytes()
-            yield [cols[0][a:b], [b"".join(map(memory.__getitem__, words)) + end for words in split]]
+        words = words_of(box.value)
+        texts = [t or "" for t in cols[1]]
+        for a, b in slices(texts, 4 << 20):
+            yield [cols[0][a:b], words.encode(texts[a:b])]
 
     return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("x")), ["id", "x"], run, f"id {kind}, ids binary")
 
@@ -72,10 +143,13 @@ def statistics(table: DataFrame, vocab: int) -> tuple[np.ndarray, int, float]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         count, docs, total = np.zeros(vocab, np.int64), 0, 0
+        here = np.zeros(vocab, bool)
         for batch in batches:
             for ids in batch.column(0).to_pylist():
                 own = np.frombuffer(ids, "<u2")
-                count[np.unique(own)] += 1
+                here[own] = True
+                count[here] += 1
+                here[own] = False
                 docs, total = docs + 1, total + len(own)
         some = np.flatnonzero(count)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-2, -1], some])), pa.array(np.concatenate([[docs, total], count[some]]))], names=["token", "n"])
