@@ -9,6 +9,8 @@ from collections.abc import Callable, Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows of an Arrow batch: bounds what a task holds as Python objects at once.
+BATCH_ROWS = 2000
 #: Bytes of text that one vectorised step inside a task handles; a longer text is a step of its own.
 SLICE_BYTES = 4 << 20
 
@@ -62,4 +64,5 @@ def map_batches(df: DataFrame, columns: list[str], fn: Callable[[list[list]], It
             for out in fn([batch.column(i).to_pylist() for i in range(batch.num_columns)]):
                 yield pa.RecordBatch.from_arrays([pa.array(x, type=f.type) for x, f in zip(out, arrow, strict=True)], schema=arrow)
 
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.select(*columns).mapInArrow(run, schema)

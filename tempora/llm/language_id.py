@@ -33,7 +33,7 @@ TRAIN_WORDS = 12_000
 #: Words of one training sequence.
 SPAN = 32
 #: Distinct words that a task remembers.
-MEMORY = 400_000
+MEMORY = 200_000
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
