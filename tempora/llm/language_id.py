@@ -157,7 +157,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     def run(cols):
         model = box.value
         texts = [t or "" for t in cols[at]]
-        for a, b in slices(texts, 1 << 21):
+        for a, b in slices(texts, 1 << 19):
             langs, scores, shares, counts = [], [], [], [0] * (b - a)
             if model.chain is not None:
                 probs, lengths = label_words(model, texts[a:b], model.words)
