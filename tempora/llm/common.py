@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable, Iterator
@@ -10,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 #: Rows of an Arrow batch: bounds what a task holds as Python objects at once.
-BATCH_ROWS = 2000
+BATCH_ROWS = 500
 #: Bytes of text that one vectorised step inside a task handles; a longer text is a step of its own.
 SLICE_BYTES = 4 << 20
 
@@ -48,6 +50,16 @@ def slices(texts: Iterable[str], limit: int = SLICE_BYTES) -> Iterator[tuple[int
         yield first, end + 1
 
 
+def release() -> None:
+    """Give freed memory back to the system: a Python worker outlives its task and would keep it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def map_batches(df: DataFrame, columns: list[str], fn: Callable[[list[list]], Iterable[list[list]]], schema: str) -> DataFrame:
     """Run `fn` on each Arrow batch of `columns` (as Python lists) inside the tasks; no shuffle.
 
@@ -63,6 +75,8 @@ def map_batches(df: DataFrame, columns: list[str], fn: Callable[[list[list]], It
         for batch in batches:
             for out in fn([batch.column(i).to_pylist() for i in range(batch.num_columns)]):
                 yield pa.RecordBatch.from_arrays([pa.array(x, type=f.type) for x, f in zip(out, arrow, strict=True)], schema=arrow)
+        batch = out = None  # nothing of the last batch is held while memory is given back
+        release()
 
     df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     return df.select(*columns).mapInArrow(run, schema)

@@ -13,7 +13,7 @@ without any labelled row everything is `und`. Other columns of the input are not
 from __future__ import annotations
 
 from collections import defaultdict
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import regex
@@ -33,7 +33,7 @@ TRAIN_WORDS = 12_000
 #: Words of one training sequence.
 SPAN = 32
 #: Distinct words that a task remembers.
-MEMORY = 200_000
+MEMORY = 100_000
 
 
 def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -64,7 +64,6 @@ def features(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
 class Model:
     langs: list[str]
     chain: crf.Chain | None
-    words: dict = field(default_factory=dict, repr=False)
 
 
 def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
@@ -154,13 +153,15 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     at = columns.index(text_col)
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in kept) + ", lang_pred string, score double, n_letter_words long, lang_shares map<string,double>"
 
+    memory: dict = {}
+
     def run(cols):
         model = box.value
         texts = [t or "" for t in cols[at]]
         for a, b in slices(texts, 1 << 19):
             langs, scores, shares, counts = [], [], [], [0] * (b - a)
             if model.chain is not None:
-                probs, lengths = label_words(model, texts[a:b], model.words)
+                probs, lengths = label_words(model, texts[a:b], memory)
                 counts = lengths.tolist()
                 ends = np.cumsum(lengths)
                 total = np.concatenate([np.zeros((1, len(model.langs))), np.cumsum(probs, 0)])
