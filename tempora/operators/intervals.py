@@ -6,13 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def union(intervals: DataFrame, by: str = "src", gap: int = 0) -> DataFrame:
-    """Disjoint intervals that cover the same points; those at most `gap` apart are joined. by, a, b, n."""
+def union(intervals: DataFrame, by: str = "src", gap: int = 0, label: str | None = None) -> DataFrame:
+    """Disjoint intervals that cover the same points; those at most `gap` apart are joined. by, a, b, n.
+
+    With `label`, also `labels`: the distinct labels of the joined intervals in order, linked by a plus sign.
+    """
+    more = [F.array_join(F.array_sort(F.collect_set(label)), "+").alias("labels")] if label else []
     w = Window.partitionBy(by).orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
     reach = F.max("b").over(w)
     marked = intervals.filter("b > a").withColumn("_new", F.coalesce(F.col("a") > reach + gap, F.lit(True)).cast("long"))
     run = Window.partitionBy(by).orderBy("a", "b").rowsBetween(Window.unboundedPreceding, 0)
-    return marked.withColumn("_g", F.sum("_new").over(run)).groupBy(by, "_g").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.count("*").alias("n")).drop("_g")
+    return marked.withColumn("_g", F.sum("_new").over(run)).groupBy(by, "_g").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.count("*").alias("n"), *more).drop("_g")
 
 
 def complement(disjoint: DataFrame, total: DataFrame, by: str = "src", least: int = 0) -> DataFrame:
@@ -32,11 +36,17 @@ def range_join(left: DataFrame, right: DataFrame, by: str, bucket: int, on: Colu
     cut = lambda a, b: F.explode(F.sequence(F.floor(F.col(a) / bucket), F.floor(F.col(b) / bucket))).alias("_k")
     one = left.select("*", cut(la, lb))
     two = right.select(*(F.col(c) for c in right.columns), cut(ra, rb))
-    met = one.join(two, [by, "_k"]) 
+    met = one.join(two, [by, "_k"])
     first = F.greatest(F.floor(F.col(la) / bucket), F.floor(F.col(ra) / bucket))
     return met.filter((F.col("_k") == first) & (F.col(la) <= F.col(rb)) & (F.col(ra) <= F.col(lb)) & on).drop("_k")
 
 
+def not_touching(left: DataFrame, right: DataFrame, by: str, row: list[str], bucket: int, on: Column | None = None) -> DataFrame:
+    """Left ranges (rows told apart by `row`) that no right range of the key overlaps so that `on` holds."""
+    hit = range_join(left, right, by, bucket, F.lit(True) if on is None else on).select(by, *row).distinct()
+    return left.join(hit, [by, *row], "left_anti")
+
+
 def subtract(keeps: DataFrame, cuts: DataFrame, by: str = "src") -> DataFrame:
     """Parts of disjoint `keeps` (by, id, a, b) outside disjoint `cuts` (by, id, a, b clipped to the keep)."""
     edges = cuts.select(by, "id", F.col("a").alias("x"), F.col("b").alias("y")).unionByName(keeps.select(by, "id", F.col("b").alias("x"), F.col("b").alias("y")))

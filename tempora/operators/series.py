@@ -22,14 +22,14 @@ def dense_grid(sparse: DataFrame, grid_of: DataFrame) -> DataFrame:
     return grid.join(sparse, ["src", "t"], "left")
 
 
-def robust_z(series: DataFrame, value: str, out: str = "z") -> DataFrame:
-    """Median/MAD score per src: scale 1.4826 MAD; 0 where the scale is 0 or the value is missing; within [-3, 6]."""
-    centre = series.groupBy("src").agg(F.median(value).alias("_m"))
-    dev = series.join(F.broadcast(centre), "src")
-    mad = dev.groupBy("src").agg(F.median(F.abs(F.col(value) - F.col("_m"))).alias("_d"))
+def robust_z(series: DataFrame, value: str, out: str = "z", by: tuple[str, ...] = ("src",)) -> DataFrame:
+    """Median/MAD score per key: scale 1.4826 MAD; 0 where the scale is 0 or the value is missing; within [-3, 6]."""
+    centre = series.groupBy(*by).agg(F.median(value).alias("_m"))
+    dev = series.join(centre, list(by))
+    mad = dev.groupBy(*by).agg(F.median(F.abs(F.col(value) - F.col("_m"))).alias("_d"))
     z = (F.col(value) - F.col("_m")) / (F.lit(1.4826) * F.col("_d"))
     z = F.when(F.col("_d") > 0, F.coalesce(z, F.lit(0.0))).otherwise(0.0)
-    return dev.join(F.broadcast(mad), "src").withColumn(out, F.greatest(F.lit(-3.0), F.least(F.lit(6.0), z))).drop("_m", "_d")
+    return dev.join(mad, list(by)).withColumn(out, F.greatest(F.lit(-3.0), F.least(F.lit(6.0), z))).drop("_m", "_d")
 
 
 def rolling_mean(series: DataFrame, value: str, out: str, reach: int = 2) -> DataFrame:
@@ -61,7 +61,7 @@ def nms_top_n(peaks: DataFrame, value: str, gap: int = 45, top: int = 20) -> Dat
 def threshold_islands(series: DataFrame, value: str, above: float, gap: int) -> DataFrame:
     """Runs of rows at least `above` over the src's median, joined where they are less than `gap` apart."""
     centre = series.groupBy("src").agg(F.median(value).alias("m"))
-    high = series.join(F.broadcast(centre), "src").filter(F.col(value) >= F.col("m") + above)
+    high = series.join(centre, "src").filter(F.col(value) >= F.col("m") + above)
     w = Window.partitionBy("src").orderBy("t")
     new = F.coalesce(F.col("t") - F.lag("t").over(w) >= gap, F.lit(True)).cast("long")
     marked = high.withColumn("_n", new).withColumn("island", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
