@@ -66,3 +66,26 @@ def parse_ranges(text: Column) -> Column:
     """`a-b, c-d` to array<struct<a,b>>; an entry without a dash is an error."""
     parts = F.filter(F.transform(F.split(text, ","), F.trim), lambda x: x != "")
     return F.transform(parts, lambda x: F.when(F.contains(x, F.lit("-")), F.struct(F.split_part(x, F.lit("-"), F.lit(1)).cast("double").alias("a"), F.split_part(x, F.lit("-"), F.lit(2)).cast("double").alias("b"))).otherwise(F.raise_error(F.concat(F.lit("no range: "), x))))
+
+
+def clock_rounded(seconds: Column) -> Column:
+    """HH:MM:SS of seconds rounded to the nearest, halves to the even one."""
+    return clock(F.bround(seconds))
+
+
+def clock_hundredths(seconds: Column) -> Column:
+    """H:MM:SS.cc of seconds rounded to hundredths; negative counts as zero."""
+    c = F.greatest(F.lit(0), F.bround(seconds * 100)).cast("long")
+    pad = lambda x: F.lpad(F.floor(x).cast("string"), 2, "0")
+    return F.concat(F.floor(c / 360_000).cast("string"), F.lit(":"), pad(c / 6000 % 60), F.lit(":"), pad(c / 100 % 60), F.lit("."), pad(c % 100))
+
+
+def table_cell(text: Column) -> Column:
+    """Text for a Markdown cell: bars escaped, line breaks as blanks; a dash for none."""
+    one = F.trim(F.regexp_replace(F.replace(text, F.lit("|"), F.lit("\\|")), r"[\r\n]+", " "))
+    return F.when(F.coalesce(one, F.lit("")) == "", F.lit("—")).otherwise(one)
+
+
+def frame_number(seconds: Column, rate: int = 60) -> Column:
+    """The nearest frame or sample; halves go to the even one."""
+    return F.bround(seconds * rate).cast("long")

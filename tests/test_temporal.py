@@ -53,3 +53,12 @@ def test_queries_have_oracles():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_more_timecodes(spark):
+    df = spark.createDataFrame([(3661.5, "a|b\nc"), (0.5, ""), (-2.0, None), (59.999, "x")], "s double, t string")
+    out = df.select(T.clock_rounded(F.col("s")), T.clock_hundredths(F.col("s")), T.table_cell(F.col("t")), T.frame_number(F.col("s"))).collect()
+    assert [r[0] for r in out] == ["01:01:02", "00:00:00", "00:00:00", "00:01:00"]
+    assert [r[1] for r in out] == ["1:01:01.50", "0:00:00.50", "0:00:00.00", "0:01:00.00"]
+    assert [r[2] for r in out] == ["a\\|b c", "—", "—", "x"]
+    assert [r[3] for r in out] == [219690, 30, -120, 3600]
