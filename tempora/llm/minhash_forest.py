@@ -3,15 +3,15 @@
 Texts are lower-cased; words are runs of letters and digits; shingles are five consecutive words
 (a text of fewer words is one shingle). Texts with the same word sequence form a class, found by
 hash, and only one text of each class is compared further. Each of `TREES` trees is a prefix trie
-of the signatures: texts under one node share the first d values of that tree. Matching starts at
-depth `DEPTH` and the prefixes are shortened until the expected recall of a pair at the threshold
-reaches `RECALL`. At every node the texts are compared with the node's first text. Those that are
-not similar to it go on: at most `SEVERAL` of a node are all compared with each other, more are
-compared with `LEADERS` of them, round after round until none is left. So a node of m texts costs
-a bounded multiple of m comparisons a round, never m squared. Every link is the exact Jaccard of
-whole shingle sets; connected texts get the smallest doc_id as their class. Verified links that
-span each group are kept (one less than its texts, or a few more), so a group of m near copies
-gives about m links and not m squared; n_links counts these.
+of the signatures, matched at one depth: from depth `DEPTH` the prefixes are shortened until the
+expected recall of a pair at the threshold reaches `RECALL`. A node there holds all texts of the
+nodes below it, so the deeper levels have no pairs of their own; this is banding at that depth. All
+pairs of a node are compared: those of at most `FEW` texts as rows, larger ones in blocks of about
+`BLOCK` texts, each with each, where blocks of texts whose sizes rule out the threshold are left
+out. A node of m similar texts costs m squared comparisons, spread over tasks of bounded size, but
+a block pair gives only counts and links that span it, not its pairs. A pair of several nodes counts
+once. Every link is the exact Jaccard of whole shingle sets; connected texts get the smallest doc_id
+as their class, and n_links counts all verified links of a text.
 
 Defined results: null and wordless texts are alone (their own class, no links); repeated rows
 each give a row; ties go to the smaller id; null ids are kept as rows of their own; an empty table
@@ -20,6 +20,7 @@ gives no rows; other columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections import defaultdict
 
@@ -37,8 +38,8 @@ TREES, DEPTH = 16, 6
 RECALL = 0.999
 #: A table of at most so many rows of 16 bytes is broadcast; larger ones are joined by shuffle.
 SMALL_ROWS = 1_000_000
-#: Open texts of a node that are all compared by a join, or inside one task; of a larger node, leaders of a round.
-FEW, SEVERAL, LEADERS = 16, 1024, 16
+#: Texts of a node that are paired by a join; texts and shingles of a block of a larger node.
+FEW, BLOCK, BLOCK_SHINGLES = 16, 512, 1 << 19
 WORD = re.compile(r"[^\W_]+")
 
 
@@ -191,7 +192,7 @@ def components(links: DataFrame) -> DataFrame:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> DataFrame:
+def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, few: int = FEW, block: int = BLOCK) -> DataFrame:
     """id, exact (xxhash64 of the text), class_id, n_links, n_copies, stays for every row.
 
     class_id: smallest id of the connected texts. n_links: different texts that this row's text is
@@ -201,38 +202,24 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     rows = stored(keys_of(docs, id_col, text_col), "keys")
     worded = rows.filter("key is not null")
     classes = stored(worded.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("n_copies")), "classes")
-    depths = sorted({depth, min_depth(threshold, recall, trees, depth)}, reverse=True)
-    nodes = prefixes(docs, text_col, trees, depths).select("key", F.explode("nodes").alias("node"))
+    nodes = prefixes(docs, text_col, trees, [min_depth(threshold, recall, trees, depth)]).select("key", F.explode("nodes").alias("node"))
     nodes = stored(nodes, "nodes")
-    # first round: everyone with the first text of the node; map-side minima make large nodes cheap
-    first = nodes.groupBy("node").agg(F.min("key").alias("lead"), F.max("key").alias("last")).filter("lead <> last").select("node", "lead")
-    pairs = stored(nodes.join(first, "node").filter("key <> lead").select("node", "key", "lead"), "pairs")
-    links = None
-    while True:
-        # a pair met in several nodes is verified once
-        todo = pairs.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
-        if links is not None:
-            todo = todo.join(links.select("a", "b"), ["a", "b"], "left_anti")
-        done = stored(verify(docs, rows, stored(todo, "todo"), id_col, text_col), "verified")
-        links = done if links is None else links.union(done)
-        near = links.filter(F.col("jaccard") >= threshold).select("a", "b")
-        near = near.union(near.select(F.col("b").alias("a"), F.col("a").alias("b"))).toDF("key", "lead")
-        # texts that are similar to none of their node's leaders go on without them
-        met = pairs.join(near, ["key", "lead"], "left_semi").select("node", "key").union(pairs.select("node", F.col("lead").alias("key"))).distinct()
-        open_ = stored(pairs.select("node", "key").distinct().join(met, ["node", "key"], "left_anti"), "open")
-        size = stored(open_.groupBy("node").agg(F.count("*").alias("n")).filter("n > 1"), "sizes")
-        if size.limit(1).count() == 0:
-            break
-        few, several, many = (open_.join(size.filter(F.col("n").between(a, b)).select("node"), "node", "left_semi") for a, b in ((2, FEW), (FEW + 1, SEVERAL), (SEVERAL + 1, 1 << 62)))
-        links = links.unionByName(stored(compare_nodes(several, docs, rows, id_col, text_col, threshold), "verified"))
-        other = few.select("node", F.col("key").alias("lead"))
-        pairs = few.join(other, "node").filter("lead < key").select("node", "key", "lead")
-        leads = many.groupBy("node", F.pmod(F.xxhash64("key"), F.lit(LEADERS)).alias("part")).agg(F.min("key").alias("lead")).select("node", "lead")
-        more = stored(many.join(leads, "node").filter("key <> lead").select("node", "key", "lead"), "pairs")
-        pairs = stored(pairs.unionByName(more), "pairs")
-    edges = links.filter(F.col("jaccard") >= threshold).select("a", "b").distinct()
-    edges = stored(edges, "links")
-    ends = edges.select(F.explode(F.array("a", "b")).alias("key")).groupBy("key").agg(F.count("*").alias("n_links"))
+    # map-side minima and maxima make large groups of copies cheap
+    shared = nodes.groupBy("node").agg(F.min("key").alias("lead"), F.max("key").alias("last")).filter("lead <> last").select("node")
+    members = stored(nodes.join(shared, "node", "left_semi").distinct(), "members")
+    crowded = stored(members.groupBy("node").agg(F.count("*").alias("n")).filter(F.col("n") > few).select("node"), "crowded")
+    small = members.join(crowded, "node", "left_anti")
+    large = stored(members.join(crowded, "node", "left_semi"), "large")
+    crowd = stored(large.groupBy("key").agg(F.collect_set("node").alias("own")), "crowd")
+    pairs = small.select("node", F.col("key").alias("a")).join(small.select("node", F.col("key").alias("b")), "node").filter("a < b").select("a", "b").distinct()
+    # a pair that also shares a large node is compared and counted there
+    one, two = (_maybe_broadcast(crowd.toDF(c, f"own_{c}"), crowd.count()) for c in "ab")
+    pairs = pairs.join(one, "a", "left").join(two, "b", "left").filter(~F.coalesce(F.arrays_overlap("own_a", "own_b"), F.lit(False))).select("a", "b")
+    links = stored(verify(docs, rows, stored(pairs, "pairs"), id_col, text_col).filter(F.col("jaccard") >= threshold).select("a", "b"), "links")
+    found = stored(compare_blocks(large, crowd, docs, rows, id_col, text_col, threshold, block), "found")
+    edges = links.unionByName(found.filter("b is not null").select("a", "b"))
+    ends = links.select(F.explode(F.array("a", "b")).alias("key"), F.lit(1).cast("long").alias("n")).unionByName(found.filter("b is null").select(F.col("a").alias("key"), "n"))
+    ends = ends.groupBy("key").agg(F.sum("n").alias("n_links"))
     groups = components(edges)
     text = classes.join(groups.withColumnRenamed("node", "key"), "key", "left").join(ends, "key", "left").select("key", "rep", "n_copies", F.coalesce("root", "key").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     text = stored(text, "texts")
@@ -279,33 +266,80 @@ def spanning_links(near: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate([*one, np.zeros(0, np.int64)]).astype(np.int64), np.concatenate([*two, np.zeros(0, np.int64)]).astype(np.int64)
 
 
-def compare_nodes(members: DataFrame, docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
-    """a, b, jaccard of similar pairs inside nodes of at most `SEVERAL` texts, by products of incidence blocks.
-
-    All pairs are compared; of each connected group the task emits the links that span it.
+def in_common(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndarray], n: int, m: int) -> np.ndarray:
+    """Values that each of n sets shares with each of m; sets are (owner, value) of their elements."""
+    values = np.intersect1d(one[1], two[1])
+    sides = []
+    for owner, value in (one, two):
+        code = np.searchsorted(values, value)
+        here = np.flatnonzero(values[np.minimum(code, len(values) - 1)] == value) if len(values) else code[:0]
+        here = here[np.argsort(code[here], kind="stable")]
+        sides.append((owner[here], code[here]))
+    both = np.zeros((n, m), np.float32)
+    for at in range(0, len(values), 4096):
+        parts = []
+        for (owner, code), rows in zip(sides, (n, m), strict=True):
+            a, b = np.searchsorted(code, [at, at + 4096])
+            part = np.zeros((rows, min(4096, len(values) - at)), np.float32)
+            part[owner[a:b], code[a:b] - at] = 1
+            parts.append(part)
+        both += parts[0] @ parts[1].T
+    return both
+
+
+def compare_blocks(large: DataFrame, crowd: DataFrame, docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, threshold: float, block: int) -> DataFrame:
+    """Of the similar pairs inside nodes: (a, null, links of a) and links (a, b, 0) that span each group.
+
+    A node's texts are dealt into cells by the logarithm of their size and a hash. Texts of a
+    similarity of at least the threshold are in the same or in neighbouring sizes, so only cells of
+    these are compared. A pair of several nodes belongs to the smallest of them.
     """
-    sets = wanted_sets(docs, rows, members.select("key"), id_col, text_col)
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("jaccard", pa.float64())])
+    sets = wanted_sets(docs, rows, crowd.select("key"), id_col, text_col)
+    sets = sets.join(crowd, "key").select("key", "shingles", "own")
+    width = max(-math.log(threshold), 1e-6) * (1 + 1e-9)
+    sizes = sets.select("key", F.size("shingles").alias("n"), F.floor(F.log(F.size("shingles")) / width).alias("c"))
+    placed = stored(large.join(sizes, "key"), "placed")
+    parts = placed.groupBy("node", "c").agg(F.ceil(F.greatest(F.count("*") / block, F.sum("n") / BLOCK_SHINGLES)).alias("parts"))
+    parts = stored(parts, "parts")
+    placed = placed.join(parts, ["node", "c"]).select("node", "c", F.pmod(F.xxhash64("node", "key"), "parts").alias("p"), "key")
+    cells = parts.select("node", "c", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("p"))
+    other = cells.toDF("node", "d", "q")
+    tasks = cells.join(other, "node").filter("(d = c and q >= p) or d = c + 1")
+    tasks = stored(tasks, "tasks")
+    task = ["node", "c", "p", "d", "q"]
+    left = tasks.join(placed, ["node", "c", "p"]).select(*task, F.lit(0).alias("side"), "key")
+    right = tasks.filter("c <> d or p <> q").join(placed.toDF("node", "d", "q", "key"), ["node", "d", "q"]).select(*task, F.lit(1).alias("side"), "key")
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("n", pa.int64())])
 
     def run(group: pa.Table) -> pa.Table:
-        keys = group.column("key").to_pylist()
-        lists = group.column("shingles").combine_chunks()
-        sizes = np.asarray(lists.value_lengths(), np.int64)
-        owner = np.repeat(np.arange(len(keys)), sizes)
-        _, code, count = np.unique(np.asarray(lists.flatten()), return_inverse=True, return_counts=True)
-        shared = count[code] > 1
-        owner, code = owner[shared], np.unique(code[shared], return_inverse=True)[1]
-        both = np.zeros((len(keys), len(keys)), np.float32)
-        for at in range(0, int(code.max(initial=-1)) + 1, 4096):
-            here = (code >= at) & (code < at + 4096)
-            block = np.zeros((len(keys), 4096), np.float32)
-            block[owner[here], code[here] - at] = 1
-            both += block @ block.T
-        jaccard = both / (sizes[:, None] + sizes[None, :] - both)
-        near = jaccard >= threshold - 1e-6
-        i, j = spanning_links(near)
-        exact = both[i, j].astype(np.float64) / (sizes[i] + sizes[j] - both[i, j].astype(np.float64))
-        one, two = [min(keys[a], keys[b]) for a, b in zip(i, j, strict=True)], [max(keys[a], keys[b]) for a, b in zip(i, j, strict=True)]
-        return pa.table([pa.array(one, pa.binary()), pa.array(two, pa.binary()), pa.array(exact)], schema=schema)
-
-    return members.join(sets, "key").select("node", "key", "shingles").groupBy("node").applyInArrow(run, "a binary, b binary, jaccard double")
+        node, twice = group.column("node")[0].as_py(), any(group.column(x)[0] != group.column(y)[0] for x, y in ("cd", "pq"))
+        side = np.asarray(group.column("side"))
+        keys, flat, own, size = [], [], [], []
+        for k in (0, 1) if twice else (0,):
+            part = group.filter(pa.array(side == k))
+            keys.append(part.column("key").to_pylist())
+            lists = part.column("shingles").combine_chunks()
+            size.append(np.asarray(lists.value_lengths(), np.int64))
+            flat.append((np.repeat(np.arange(len(part)), size[-1]), np.asarray(lists.flatten())))
+            lists = part.column("own").combine_chunks()
+            owner, nodes = np.repeat(np.arange(len(part)), np.asarray(lists.value_lengths(), np.int64)), np.asarray(lists.flatten())
+            own.append((owner[nodes < node], nodes[nodes < node]))
+        n, m = len(keys[0]), len(keys[-1])
+        both = in_common(flat[0], flat[-1], n, m).astype(np.float64)
+        near = both / (size[0][:, None] + size[-1][None, :] - both) >= threshold
+        near &= in_common(own[0], own[-1], n, m) == 0
+        if twice:
+            counts = np.concatenate([near.sum(1), near.sum(0)])
+            whole = np.zeros((n + m, n + m), bool)
+            whole[:n, n:], whole[n:, :n] = near, near.T
+        else:
+            np.fill_diagonal(near, False)
+            counts, whole = near.sum(1), near
+        names = [x for part in keys for x in part]
+        some = np.flatnonzero(counts)
+        i, j = spanning_links(whole)
+        one = [names[k] for k in some] + [min(names[a], names[b]) for a, b in zip(i, j, strict=True)]
+        two = [None] * len(some) + [max(names[a], names[b]) for a, b in zip(i, j, strict=True)]
+        return pa.table([pa.array(one, pa.binary()), pa.array(two, pa.binary()), pa.array(np.concatenate([counts[some], np.zeros(len(i), np.int64)]), pa.int64())], schema=schema)
+
+    return left.unionByName(right).join(sets, "key").groupBy(*task).applyInArrow(run, "a binary, b binary, n long")
