@@ -51,5 +51,13 @@ def test_every_link_counts_in_groups_of_all_sizes(spark, limits):
     assert max(n for _, n, _ in want.values()) > 30 and sorted(r.doc_id for r in out if r.stays) == sorted({c for c, _, _ in want.values()})
 
 
+@pytest.mark.parametrize("m", [3, 20])
+def test_all_similar_texts_have_links_to_all_others(spark, m):
+    base = [f"w{k}" for k in range(200)]
+    docs = [(k, " ".join([*base[: 9 * k], f"e{k}", *base[9 * k + 1 :]])) for k in range(m)]
+    out = minhash_forest.join(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert {r.doc_id: (r.class_id, r.n_links) for r in out} == {k: (0, m - 1) for k in range(m)}
+
+
 def test_join_of_an_empty_table(spark):
     assert minhash_forest.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
