@@ -13,10 +13,11 @@ Words: A-Z lower-cased, then `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+`. A window i
 words of an item; an item of fewer words, but not none, is one window.
 
 Defined results: null, empty and wordless texts have no words and no hits; null, empty and
-wordless items have no windows; repeated items each count, by their ids; repeated documents each
-give a row; an empty benchmark hits nothing. Other columns are not read. A benchmark larger than
-`BLOCK_BYTES` is dealt into blocks by hash and searched block by block, so what is broadcast stays
-bounded.
+wordless items have no windows; repeated items each count, by their ids; items without id count as one, null;
+repeated documents each give a row; an empty benchmark hits nothing. Other columns are not read. A
+benchmark larger than `BLOCK_BYTES` is dealt into blocks by hash. One block at a time is built,
+broadcast and searched, on a table that is written between blocks; texts are cut by the merged spans
+of all blocks.
 """
 
 from __future__ import annotations
@@ -28,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempora.llm.common import map_batches, slices
+from tempora.llm.common import map_batches, slices, stored
 
 WINDOW = 10
 #: Text of benchmark items that is broadcast at once.
@@ -53,21 +54,25 @@ class Phrases:
     words: np.ndarray
     length: np.ndarray
     item_at: np.ndarray
-    items: list[str]
+    items: list[str | None]
+
+
+def in_order(items: set[str | None]) -> list[str | None]:
+    return sorted(items, key=lambda x: (x is None, x or ""))
 
 
 def phrases(rows: list[tuple[object, str | None]], window: int = WINDOW) -> Phrases:
     vocab: dict[bytes, int] = {}
-    found: dict[tuple[int, ...], set[str]] = {}
+    found: dict[tuple[int, ...], set[str | None]] = {}
     for item, text in rows:
         ids = [vocab.setdefault(w, len(vocab) + 1) for w in words_of(text)]
         for k in range(max(1, len(ids) - window + 1) if ids else 0):
-            found.setdefault(tuple(ids[k : k + window]), set()).add(str(item))
+            found.setdefault(tuple(ids[k : k + window]), set()).add(None if item is None else str(item))
     words = np.zeros((len(found), window), np.int64)
     for k, w in enumerate(found):
         words[k, window - len(w) :] = w
     sizes = [len(x) for x in found.values()]
-    return Phrases(vocab, words, np.array([len(w) for w in found], np.int64), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), [i for x in found.values() for i in sorted(x)])
+    return Phrases(vocab, words, np.array([len(w) for w in found], np.int64), np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64), [i for x in found.values() for i in in_order(x)])
 
 
 def suffix_array(text: np.ndarray) -> np.ndarray:
@@ -164,7 +169,7 @@ class FMIndex:
         return out
 
 
-def search_shard(texts: list[str], p: Phrases) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str]]]:
+def search_shard(texts: list[str], p: Phrases) -> tuple[np.ndarray, list[list[tuple[int, int]]], list[list[str | None]]]:
     """(number of words, merged removal spans in words, sorted items) of each text."""
     get = p.vocab.get
     counts, ids = [], [0]
@@ -175,7 +180,7 @@ def search_shard(texts: list[str], p: Phrases) -> tuple[np.ndarray, list[list[tu
         ids.append(0)
     n_words = np.array(counts, np.int64)
     spans: list[list[tuple[int, int]]] = [[] for _ in texts]
-    items: list[list[str]] = [[] for _ in texts]
+    items: list[list[str | None]] = [[] for _ in texts]
     if not len(p.length):
         return n_words, spans, items
     ids = np.array(ids, np.int64)
@@ -207,11 +212,11 @@ def search_shard(texts: list[str], p: Phrases) -> tuple[np.ndarray, list[list[tu
         d = int(np.searchsorted(begin, a, side="right")) - 1
         spans[d].append((a - int(begin[d]), b - int(begin[d])))
     pairs = np.unique(doc * len(lo) + which)
-    sets: dict[int, set[str]] = {}
+    sets: dict[int, set[str | None]] = {}
     for d, w in zip((pairs // len(lo)).tolist(), (pairs % len(lo)).tolist(), strict=True):
         sets.setdefault(d, set()).update(p.items[p.item_at[w] : p.item_at[w + 1]])
     for d, s in sets.items():
-        items[d] = sorted(s)
+        items[d] = in_order(s)
     return n_words, spans, items
 
 
@@ -226,39 +231,49 @@ def merge(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[Phrases]:
-    """The benchmark's windows in blocks of about `block_bytes` of text, dealt by hash of the row."""
-    rows = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("x")).filter(F.col("x").isNotNull() & F.col("i").isNotNull())
+def blocks(benchmark: DataFrame, id_col: str, text_col: str, block_bytes: int) -> list[DataFrame]:
+    """The benchmark's rows in blocks of about `block_bytes` of text, dealt by hash of the row."""
+    rows = benchmark.select(F.col(id_col).alias("i"), F.col(text_col).alias("x")).filter(F.col("x").isNotNull())
     total = rows.agg(F.sum(F.octet_length("x")).alias("n")).first().n or 0
     n = max(1, -(-total // block_bytes))
-    if n == 1:
-        return [phrases([(r.i, r.x) for r in rows.collect()])]
     part = F.pmod(F.xxhash64(F.col("i").cast("string"), "x"), F.lit(n))
-    return [phrases([(r.i, r.x) for r in rows.filter(part == k).collect()]) for k in range(n)]
+    return [rows.filter(part == k) for k in range(n)] if n > 1 else [rows]
+
+
+def broadcast(block: DataFrame):
+    return block.sparkSession.sparkContext.broadcast(phrases([(r.i, r.x) for r in block.collect()]))
 
 
 SPANS = "n_words long, spans array<struct<first:int,last:int>>, items array<string>"
+NONE = ["cast(0 as bigint) as n_words", "cast(array() as array<struct<first:int,last:int>>) as spans", "cast(array() as array<string>) as items"]
+
+
+def search(df: DataFrame, box, keep: list[str], x: str = "x") -> DataFrame:
+    """`keep` columns of a table with text and the columns of SPANS, with a block's finds added to these."""
+    names = list(dict.fromkeys([x, *keep]))
+    schema = ", ".join([f"`{c}` {df.schema[c].dataType.simpleString()}" for c in keep] + [SPANS])
+
+    def run(cols):
+        texts = [t or "" for t in cols[0]]
+        at, old_spans, old_items = [names.index(c) for c in keep], cols[-2], cols[-1]
+        for a, b in slices(texts, SHARD):
+            n, spans, items = search_shard(texts[a:b], box.value)
+            spans = [merge(new + [(s["first"], s["last"]) for s in old]) if old else new for new, old in zip(spans, old_spans[a:b], strict=True)]
+            items = [in_order({*new, *old}) if old else new for new, old in zip(items, old_items[a:b], strict=True)]
+            yield [*(cols[k][a:b] for k in at), n.tolist(), [[{"first": p, "last": q} for p, q in s] for s in spans], items]
+
+    return map_batches(df, [*(f"`{c}`" for c in names), "n_words", "spans", "items"], run, schema)
 
 
 def find(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """id, n_words, removal spans (first word, word after the last) and items for every row."""
-    kind = docs.schema[id_col].dataType.simpleString()
     todo = blocks(benchmark, item_col, item_text, block_bytes)
-    df = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("x"), F.expr("cast(0 as bigint) as n_words"), F.expr("cast(array() as array<struct<first:int,last:int>>) as spans"), F.expr("cast(array() as array<string>) as items"))
-    for k, p in enumerate(todo):
-        box = docs.sparkSession.sparkContext.broadcast(p)
-        last = k == len(todo) - 1
-
-        def run(cols, box=box, last=last):
-            texts = [t or "" for t in cols[1]]
-            for a, b in slices(texts, SHARD):
-                n, spans, items = search_shard(texts[a:b], box.value)
-                spans = [merge(new + [(s["first"], s["last"]) for s in old]) if old else new for new, old in zip(spans, cols[3][a:b], strict=True)]
-                items = [sorted({*new, *old}) if old else new for new, old in zip(items, cols[4][a:b], strict=True)]
-                yield [cols[0][a:b], *([] if last else [cols[1][a:b]]), n.tolist(), [[{"first": x, "last": y} for x, y in s] for s in spans], items]
-
-        df = map_batches(df, ["i", "x", "n_words", "spans", "items"], run, f"i {kind}, " + ("" if last else "x string, ") + SPANS)
-    return df.withColumnRenamed("i", id_col)
+    df = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("x"), *map(F.expr, NONE))
+    for block in todo[:-1]:
+        box = broadcast(block)
+        df = stored(search(df, box, ["i", "x"]), "spans")
+        box.unpersist()
+    return search(df, broadcast(todo[-1]), ["i"]).withColumnRenamed("i", id_col)
 
 
 def strip(text: str, spans: list[tuple[int, int]]) -> str:
@@ -276,39 +291,74 @@ def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", length_
     """All columns of `docs`, with the removal spans cut out of the text; wordless rests go.
 
     Words that meet where a span was cut can form a new match, so a changed text is searched
-    again until it is clean. Rows without hits are unchanged; null texts go, having no words.
+    again, for all blocks, until it is clean. Rows without hits are unchanged; null texts go, having
+    no words.
     """
+    todo = blocks(benchmark, item_col, item_text, block_bytes)
+    if len(todo) > 1:
+        return clean_by_blocks(docs, todo, text_col, length_col)
     cols = docs.columns
     x = cols.index(text_col)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    for p in blocks(benchmark, item_col, item_text, block_bytes):
-        box = docs.sparkSession.sparkContext.broadcast(p)
-
-        def run(values, box=box):
-            texts = [t or "" for t in values[x]]
-            for a, b in slices(texts, SHARD):
-                own, left, todo = texts[a:b], [1] * (b - a), list(range(b - a))
-                changed = set()
-                while todo:
-                    n, spans, _ = search_shard([own[k] for k in todo], box.value)
-                    for k, c in zip(todo, n.tolist(), strict=True):
-                        left[k] = c
-                    again = [k for k, s in zip(todo, spans, strict=True) if s]
-                    for k, s in zip(todo, spans, strict=True):
-                        if s:
-                            own[k] = strip(own[k], s)
-                    changed.update(again)
-                    todo = again
-                keep = [k for k in range(b - a) if left[k]]
-                out = []
-                for name, column in zip(cols, values, strict=True):
-                    if name == text_col:
-                        out.append([own[k] for k in keep])
-                    elif name == length_col:
-                        out.append([len(own[k]) if k in changed else column[a + k] for k in keep])
-                    else:
-                        out.append([column[a + k] for k in keep])
-                yield out
-
-        docs = map_batches(docs, [f"`{c}`" for c in cols], run, schema)
-    return docs
+    box = broadcast(todo[0])
+
+    def run(values):
+        texts = [t or "" for t in values[x]]
+        for a, b in slices(texts, SHARD):
+            own, left, todo = texts[a:b], [1] * (b - a), list(range(b - a))
+            changed = set()
+            while todo:
+                n, spans, _ = search_shard([own[k] for k in todo], box.value)
+                for k, c in zip(todo, n.tolist(), strict=True):
+                    left[k] = c
+                again = [k for k, s in zip(todo, spans, strict=True) if s]
+                for k, s in zip(todo, spans, strict=True):
+                    if s:
+                        own[k] = strip(own[k], s)
+                changed.update(again)
+                todo = again
+            keep = [k for k in range(b - a) if left[k]]
+            out = []
+            for name, column in zip(cols, values, strict=True):
+                if name == text_col:
+                    out.append([own[k] for k in keep])
+                elif name == length_col:
+                    out.append([len(own[k]) if k in changed else column[a + k] for k in keep])
+                else:
+                    out.append([column[a + k] for k in keep])
+            yield out
+
+    return map_batches(docs, [f"`{c}`" for c in cols], run, schema)
+
+
+def clean_by_blocks(docs: DataFrame, todo: list[DataFrame], text_col: str, length_col: str | None) -> DataFrame:
+    """The same for several blocks: each round searches all of them and cuts the changed texts once."""
+    names = [f"c{k}" for k in range(len(docs.columns))]  # the documents' names may clash with the spans'
+    x = names[docs.columns.index(text_col)]
+    length = names[docs.columns.index(length_col)] if length_col in docs.columns else None
+    schema = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, docs.schema, strict=True))
+
+    def cut(values):
+        spans = values[-1]
+        new = dict(zip(names, values[:-1], strict=True))
+        new[x] = [strip(t, [(s["first"], s["last"]) for s in own]) for t, own in zip(new[x], spans, strict=True)]
+        if length:
+            new[length] = list(map(len, new[x]))
+        yield [new[c] for c in names]
+
+    left, done = docs.toDF(*names), []
+    while True:
+        df = left.select(*names, *map(F.expr, NONE))
+        for block in todo:
+            box = broadcast(block)
+            df = stored(search(df, box, names, x), "spans")
+            box.unpersist()
+        done.append(df.filter("n_words > 0 and size(spans) = 0").select(*names))
+        hit = df.filter("size(spans) > 0")
+        if hit.limit(1).count() == 0:
+            break
+        left = stored(map_batches(hit, [*names, "spans"], cut, schema), "cut")
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionByName(more)
+    return out.toDF(*docs.columns)
