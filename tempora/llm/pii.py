@@ -2,7 +2,7 @@
 
 Emails, phone numbers, card and account numbers, social security numbers, IP addresses and
 secrets are replaced by a keyed permutation of the strings of the same format: digits become
-digits, hexadecimal stays hexadecimal, letters keep their case. A permutation has no collisions
+digits of the same script, hexadecimal stays hexadecimal, letters keep their case and script. A permutation has no collisions
 and no fixed points, so different entities stay different, an entity has one surrogate in all
 documents, and none stays as it was. Card numbers keep their check digit's validity. Names after a
 title keep script and the gender of the title; they are drawn by keyed hash from given names and
@@ -19,6 +19,8 @@ from __future__ import annotations
 import hashlib
 import hmac
 import re
+import unicodedata
+from functools import cache
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,7 +30,7 @@ from tempora.llm.common import map_batches
 #: Entity types in order of precedence, and their patterns.
 TYPES = {
     "secret": r"\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,}|(?=[0-9a-f]*[0-9])[0-9a-f]{24,}|(?=[0-9A-F]*[0-9])[0-9A-F]{32,})\b|(?<=[\"'=:\s])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{32,}={0,2}",
-    "email": r"(?<![\w.+-])[A-Za-z0-9_][\w.+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+    "email": r"(?<![\w.+-])\w[\w.+-]*@(?:[^\W_]|-)+(?:\.(?:[^\W_]|-)+)*\.[^\W\d_]{2,}",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b(?<=[0-9]{4}|[0-9A-Z]{4})",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
@@ -49,7 +51,6 @@ CONSONANTS = {"latin": "bdfgklmnprstvwzh", "cyrillic": "бвгдзклмнпрс
 VOWELS = {"latin": "aeio", "cyrillic": "аеио"}
 ENTITY = re.compile("|".join(f"(?P<{k}>{v})" for k, v in TYPES.items()))
 NAME = re.compile(r"\b(?:" + "|".join(f"(?P<{k}>{v})" for k, v in TITLES.items()) + r")\b\.? +(?P<name>[^\W\d_a-zà-ÿа-я][^\W\d_]+(?:[ -][^\W\d_a-zà-ÿа-я][^\W\d_]+){0,2})")
-MARK = re.compile(r"[0-9@]|\b(?:" + "|".join(TITLES.values()) + r")\b")
 
 
 def _rounds(key: bytes, tag: str, half: int, value: int, k: int) -> int:
@@ -89,19 +90,34 @@ def _luhn(digits: str) -> int:
     return -total % 10
 
 
+@cache
+def alphabet(c: str) -> str:
+    """The characters that may stand for this one: digits of its script, letters of its case and script."""
+    if c.isascii():
+        return next((x for x in ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ") if c in x), "")
+    if c.isdecimal():
+        zero = ord(c) - unicodedata.decimal(c)
+        return "".join(map(chr, range(zero, zero + 10)))
+    if not c.isalnum():
+        return ""
+    first, kind = ord(c) & ~127, unicodedata.category(c)
+    return "".join(x for x in map(chr, range(first, first + 128)) if unicodedata.category(x) == kind and x.isalnum() and not x.isdecimal())
+
+
 def surrogate(key: bytes, kind: str, value: str) -> str:
     """The surrogate of an entity that isn't a name: another string of the same format."""
-    if kind == "ip":
+    zeros = {alphabet(c) for c in value if c.isdecimal()}
+    if kind == "ip" and len(zeros) == 1:  # of several scripts, the digits are exchanged one by one
         parts = [int(p) for p in value.split(".")]
         x = exchange(key, "ip", int.from_bytes(bytes(parts), "big"), 1 << 32)
-        return ".".join(map(str, x.to_bytes(4, "big")))
+        return ".".join(map(str, x.to_bytes(4, "big"))).translate(str.maketrans("0123456789", zeros.pop()))
     if kind == "card":
         digits = [c for c in value if c.isdigit()]
         body, check = "".join(digits[:-1]), int(digits[-1])
         new = str(exchange(key, f"card{len(body)}", int(body), 10 ** len(body))).zfill(len(body))
         new += str((_luhn(new) + check - _luhn(body)) % 10)
         left = iter(new)
-        return "".join(next(left) if c.isdigit() else c for c in value)
+        return "".join(alphabet(c)[int(next(left))] if c.isdigit() else c for c in value)
     fixed = 0
     if kind == "phone" and value[0] == "+":
         fixed = re.match(r"\+\d{1,3}(?=[ .(-])|\+\d", value).end()
@@ -111,7 +127,7 @@ def surrogate(key: bytes, kind: str, value: str) -> str:
     hexa = kind == "secret" and re.fullmatch("[0-9a-f]+|[0-9A-F]+", value)
     sets, shape = [], []
     for k, c in enumerate(value):
-        letters = "0123456789abcdef" if hexa and value == value.lower() else "0123456789ABCDEF" if hexa else "0123456789" if c in "0123456789" else "abcdefghijklmnopqrstuvwxyz" if "a" <= c <= "z" else "ABCDEFGHIJKLMNOPQRSTUVWXYZ" if "A" <= c <= "Z" else ""
+        letters = "0123456789abcdef" if hexa and value == value.lower() else "0123456789ABCDEF" if hexa else alphabet(c)
         if letters and fixed <= k < last:
             sets.append((k, letters))
             shape.append(str(len(letters)))
@@ -174,7 +190,7 @@ def name_plan(docs: DataFrame, text_col: str, key: bytes) -> tuple[bytes, int]:
     """
 
     def run(cols):
-        pairs = {(g, v) for t in cols[0] if t and MARK.search(t) for _, _, g, v in names_in(t)}
+        pairs = {(g, v) for t in cols[0] if t for _, _, g, v in names_in(t)}
         yield [[g for g, _ in pairs], [v for _, v in pairs]]
 
     names = map_batches(docs, [text_col], run, "gender string, name string").distinct()
@@ -212,7 +228,7 @@ def anonymise(docs: DataFrame, key: bytes, text_col: str = "text", length_col: s
             lengths = list(values[cols.index(length_col)])
         for k, t in enumerate(values[x]):
             made = []
-            if t and MARK.search(t):
+            if t:
                 t, made = replace(t, key, name_key, syllables)
                 if made and lengths is not None:
                     lengths[k] = len(t)
