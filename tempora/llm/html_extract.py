@@ -3,11 +3,13 @@
 A page is cut into leaf blocks (runs of text and inline markup inside one block element). A
 block's features are the tags, classes, ids and roles of its ancestors and the shape of its text;
 labels are content and other; transitions are learned with them. Training pages are labelled
-pages, made by `labelled_pages` from layouts with known content.
+pages, made by `labelled_pages` from layouts with known content; a part of their boxes has no class
+or a meaningless one, so that the text, the links and the neighbouring blocks decide there.
 
-Defined results: null and empty html give an empty text; unclosed tags, comments and raw elements
-run to the end as browsers have it; the whole page is read whatever its length; repeated rows each
-give a row. Other columns of the input are not read.
+Defined results: null and empty html give an empty text; unclosed tags, comments, quoted values,
+scripts and styles run to the end as browsers have it; an unclosed drawing or object ends with its
+parent, one that closes itself holds nothing; the whole page is read once whatever its length;
+repeated rows each give a row. Other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -18,19 +20,25 @@ from html import unescape
 
 import numpy as np
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tempora.llm import crf
-from tempora.llm.common import map_batches
+from tempora.llm.common import map_batches, slices
 
 BUCKETS = 1 << 13
+#: Attributes as browsers read them; nothing is read twice, whatever the quotes.
 TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|template|noscript|iframe|textarea|svg|math|select|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
-    r"|<[!?/][^>]*>",
-    re.S | re.I,
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))"
+    r"|<(/?)([a-zA-Z][^\s/>]*+)((?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)?+)*+)(?:>|\Z)"
+    r"|<[!?/][^>]*+(?:>|\Z)",
+    re.S,
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+ATTRIBUTE = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"?+|'([^']*+)'?+|([^\s>\"'][^\s>]*+))?+)?+")
+#: Attributes that are features: of the first their words, of the others also the name.
+TOLD, FLAGS = ("class", "id", "role"), ("hidden", "aria-hidden")
+#: Elements of raw text, and elements whose whole content is dropped.
+RAW = frozenset("script style textarea iframe xmp noembed noframes".split())
+DROPPED = frozenset("svg math template noscript select object canvas audio video".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark meter nobr q ruby rb rt rp s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Tags that end an open element of the given kinds when they begin.
@@ -61,24 +69,46 @@ def blocks(html: str) -> list[tuple[str, list[tuple[str, str]], float]]:
             parts.append(piece)
             linked += link * len(piece.strip())
 
-    last = 0
-    for m in TOKEN.finditer(html):
-        text(html[last : m.start()])
-        last = m.end()
-        name = (m[3] or "").lower()
+    at, dropped = 0, 0
+    while (m := TOKEN.search(html, at)) is not None:
+        if not dropped:
+            text(html[at : m.start()])
+        at = m.end()
+        name = (m[2] or "").lower()
         if not name:
             continue
-        if name in INLINE:
+        if name in RAW and not m[1]:
+            close = re.compile(rf"</{name}(?=[\s/>])", re.I).search(html, at)
+            at = close.start() if close else len(html)
+            continue
+        if name in INLINE or name in RAW:
             if name == "br":
                 parts.append(" ")
             elif name == "a":
-                link = 0 if m[2] else 1
+                link = 0 if m[1] else 1
+            continue
+        if name in DROPPED:  # inside a line of text, as an image is
+            if m[1]:
+                k = next((k for k in range(len(stack) - 1, -1, -1) if stack[k][0] == name), None)
+                if k is not None:
+                    dropped -= sum(tag in DROPPED for tag, _ in stack[k:])
+                    del stack[k:]
+            elif not m[3].endswith("/"):
+                stack.append((name, ""))
+                dropped += 1
             continue
-        end()
-        link = 0
-        if m[2]:
+        if not dropped:
+            end()
+            link = 0
+        if m[1]:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
+                    if dropped:
+                        gone = sum(tag in DROPPED for tag, _ in stack[k:])
+                        dropped -= gone
+                        if gone and not dropped:
+                            end()
+                            link = 0
                     del stack[k:]
                     break
             continue
@@ -88,22 +118,36 @@ def blocks(html: str) -> list[tuple[str, list[tuple[str, str]], float]]:
                 if stack[k][0] in kinds:
                     del stack[k:]
                     break
-                if stack[k][0] in SCOPES and stack[k][0] not in kinds:
+                if stack[k][0] in DROPPED or (stack[k][0] in SCOPES and stack[k][0] not in kinds):
                     break
             if stack and stack[-1][0] == "p":
                 stack.pop()
-            attrs = " ".join(f"{a.lower()} {b or c or d or ''}" if a.lower() in ("hidden", "aria-hidden") else (b or c or d or "") for a, b, c, d in ATTRIBUTE.findall(m[4])) if m[4] else ""
-            stack.append((name, attrs))
-    text(html[last:])
+            stack.append((name, told(m[3])))
+    if not dropped:
+        text(html[at:])
     end()
     return out
 
 
+def told(attributes: str) -> str:
+    """Class, id and role words of a tag, and the names of its flags."""
+    if not attributes.strip("/ "):
+        return ""
+    words = []
+    for name, a, b, c in ATTRIBUTE.findall(attributes):
+        name = name.lower()
+        if name in TOLD:
+            words.append(a or b or c)
+        elif name in FLAGS:
+            words.append(f"{name} {a or b or c}")
+    return " ".join(words)
+
+
 WORDS = re.compile(r"[a-z]+|[A-Z][a-z]*|[0-9]+")
 ENDS = (".", "!", "?", "…", "。", ":", '."', ".”", ".»")
 
 
-def block_features(text: str, path: list[tuple[str, str]], linked: float) -> set[str]:
+def block_features(text: str, path: list[tuple[str, str]], linked: float) -> list[str]:
     feats = {"bias"}
     for tag, attrs in path:
         feats.add(f"in {tag}")
@@ -111,21 +155,30 @@ def block_features(text: str, path: list[tuple[str, str]], linked: float) -> set
             feats.update(f"has {w.lower()}" for w in WORDS.findall(attrs))
     if path:
         feats.add(f"leaf {path[-1][0]}")
-    words = text.count(" ") + 1
-    feats.add(f"words {min(6, words.bit_length())}")
-    feats.add(f"links {int(linked * 4)}")
-    feats.add(f"ends {text.endswith(ENDS)}")
+    feats.update(f"text {x}" for x in shape(text, linked))
     if text[0] in "©®|»›•" or text[:3].lower() == "(c)":
         feats.add("mark")
     if sum(c.isdigit() for c in text[:200]) * 4 > min(len(text), 200):
         feats.add("digits")
-    return feats
+    return list(feats)
+
+
+def shape(text: str, linked: float) -> tuple[str, str, str]:
+    """Length, links and end of a text, as its neighbours see them too."""
+    words = min(6, (text.count(" ") + 1).bit_length())
+    level, stop = int(linked * 4), text.endswith(ENDS)
+    return f"words {words} links {level}", f"words {words} stop {stop}", f"commas {min(2, text.count(','))} stop {stop}"
 
 
 def feature_ids(page: list[tuple[str, list[tuple[str, str]], float]], cache: dict[str, int]) -> tuple[list[int], list[int]]:
-    items, feats = [], []
+    items, feats, shapes = [], [], [shape(text, linked) for text, _, linked in page]
     for k, block in enumerate(page):
-        for f in block_features(*block):
+        own = block_features(*block)
+        own.append(f"before {shapes[k - 1][0]}" if k else "first")
+        own.append(f"after {shapes[k + 1][0]}" if k + 1 < len(page) else "last")
+        if k:
+            own.append(f"beside {block[1][:-1] == page[k - 1][1][:-1]} {shapes[k - 1][1]}")
+        for f in own:
             if f not in cache:
                 cache[f] = zlib.crc32(f.encode("utf-8", "replace")) % BUCKETS
             items.append(k)
@@ -139,28 +192,43 @@ TOP_BOXES = [("<nav>", "</nav>"), ("<header>", "</header>"), ('<div class="menu"
 BOTTOM_BOXES = [("<footer>", "</footer>"), ("<aside>", "</aside>"), ('<div class="sidebar">', "</div>"), ('<div class="related">', "</div>"), ('<section class="comments">', "</section>"), ('<div id="comments"><div class="comment">', "</div></div>"), ("<form>", "</form>"), ('<div class="newsletter subscribe">', "</div>"), ('<div class="footer">', "</div>"), ('<div class="ads promo">', "</div>"), ('<div role="complementary">', "</div>"), ('<div class="share social">', "</div>"), ('<ol class="commentlist">', "</ol>"), ('<div role="contentinfo">', "</div>"), ('<section id="disqus" class="reader-comments">', "</section>")]
 
 
-def labelled_pages(n: int = 400, seed: int = 11) -> list[str]:
-    """Training pages. Each text starts with \\x01 if it is content, else with \\x02."""
+def labelled_pages(n: int = 1000, seed: int = 11) -> list[str]:
+    """Training pages. Each text starts with \\x01 if it is content, else with \\x02.
+
+    Half of the pages have boxes without class, or with meaningless words for classes; there other
+    things are lists of links, short lines and notes, which the text tells apart.
+    """
     rng = np.random.default_rng(seed)
 
+    def word() -> str:
+        return "".join(chr(97 + int(c)) for c in rng.integers(0, 26, rng.integers(2, 9)))
+
     def prose(label: str, least: int, most: int, stop: bool) -> str:
-        words = ["".join(chr(97 + int(c)) for c in rng.integers(0, 26, rng.integers(2, 9))) for _ in range(rng.integers(least, most))]
-        return label + " ".join(words).capitalize() + "." * stop
+        words = [word() + "," * int(rng.integers(9) == 0) for _ in range(rng.integers(least, most))]
+        return label + " ".join(words).strip(",").capitalize() + "." * stop
 
     def links(tag: str) -> str:
         return "".join(f'<{tag}><a href="/{k}">{prose(chr(2), 1, 4, False)}</a></{tag}>' for k in range(rng.integers(1, 7)))
 
-    def other(pair: tuple[str, str]) -> str:
+    def bare() -> tuple[str, str]:
+        tags = ["div", "section"][: 1 + int(rng.integers(2))] * int(rng.integers(1, 3))
+        named = lambda: "" if rng.integers(2) else f' {("class", "id")[rng.integers(2)]}="{word()} {word()}-{rng.integers(9)}"'
+        return "".join(f"<{t}{named()}>" for t in tags), "".join(f"</{t}>" for t in reversed(tags))
+
+    def other(pair: tuple[str, str], plain: bool) -> str:
         kind = rng.integers(0, 5)
-        inner = f"<ul>{links('li')}</ul>" if kind == 0 else links("p") if kind == 1 else f"<p>{prose(chr(2), 4, 40, True)}</p>" * int(rng.integers(1, 3)) if kind == 2 else f"{chr(2)}&copy; {prose('', 2, 12, bool(rng.integers(2)))}" if kind == 3 else prose(chr(2), 5, 30, True)
+        if plain:
+            inner = (f"<ul>{links('li')}</ul>", links("p"), links("div"), f"{chr(2)}&copy; {prose('', 2, 8, False)}", prose(chr(2), 1, 4, False))[kind]
+        else:
+            inner = f"<ul>{links('li')}</ul>" if kind == 0 else links("p") if kind == 1 else f"<p>{prose(chr(2), 4, 40, True)}</p>" * int(rng.integers(1, 3)) if kind == 2 else f"{chr(2)}&copy; {prose('', 2, 12, bool(rng.integers(2)))}" if kind == 3 else prose(chr(2), 5, 30, True)
         return pair[0] + inner + pair[1]
 
-    def pick(boxes: list, most: int) -> str:
-        return "".join(other(boxes[k]) for k in rng.integers(0, len(boxes), rng.integers(1, most)))
-
     pages = []
     for _ in range(n):
-        box = CONTENT_BOXES[rng.integers(len(CONTENT_BOXES))]
+        plain = not rng.integers(2)
+        box = bare() if plain else CONTENT_BOXES[rng.integers(len(CONTENT_BOXES))]
+        tag = "div" if plain and rng.integers(2) else "p"
+        pick = lambda boxes, least, most: "".join(other(bare() if plain else boxes[k], plain) for k in rng.integers(0, len(boxes), rng.integers(least, most)))
         body = [f"<h1>{prose(chr(1), 2, 9, False)}</h1>"] if rng.integers(4) else []
         for _ in range(rng.integers(1, 9)):
             kind = rng.integers(0, 12)
@@ -172,16 +240,16 @@ def labelled_pages(n: int = 400, seed: int = 11) -> list[str]:
                 body.append(f"<blockquote>{prose(chr(1), 5, 40, True)}</blockquote>")
             elif kind == 3:
                 body.append(f"<table><tr><td>{prose(chr(1), 1, 5, False)}</td><td>{prose(chr(1), 1, 3, False)}</td></tr></table>")
-            elif kind == 4:
-                body.append(other(BOTTOM_BOXES[rng.integers(len(BOTTOM_BOXES))]))
+            elif kind == 4 and not plain:
+                body.append(other(BOTTOM_BOXES[rng.integers(len(BOTTOM_BOXES))], False))
             elif kind == 5:
-                body.append(f'<p>{prose(chr(1), 1, 30, True)} <a href="/x">{prose("", 1, 4, False)}</a></p>')
-            elif kind == 6:
-                body.append(other(TOP_BOXES[rng.integers(len(TOP_BOXES))]))
+                body.append(f'<{tag}>{prose(chr(1), 6 if plain else 1, 30, True)} <a href="/x">{prose("", 1, 4, False)}</a></{tag}>')
+            elif kind == 6 and not plain:
+                body.append(other(TOP_BOXES[rng.integers(len(TOP_BOXES))], False))
             else:
-                body.append(f"<p>{prose(chr(1), 1, 60, bool(rng.integers(8)))}</p>")
-        head = f"<head><title>{prose(chr(2), 2, 9, False)}</title></head>" if rng.integers(8) else ""
-        pages.append(f"<html>{head}<body>{pick(TOP_BOXES, 4)}{box[0]}{''.join(body)}{box[1]}{pick(BOTTOM_BOXES, 5)}</body></html>")
+                body.append(f"<{tag}>{prose(chr(1), 6 if plain else 1, 60 if plain or rng.integers(3) else 5, plain or bool(rng.integers(3)))}</{tag}>")
+        head = f"<head><title>{prose(chr(2), 2, 9, False)}</title></head>" if rng.integers(5 - 3 * plain) else ""
+        pages.append(f"<html>{head}<body>{pick(TOP_BOXES, 0, 4)}{box[0]}{''.join(body)}{box[1]}{pick(BOTTOM_BOXES, 0, 5)}</body></html>")
     return pages
 
 
@@ -204,7 +272,7 @@ def train(pages: list[str] | None = None) -> crf.Chain:
     longest = max(map(len, seqs))
     mask = np.array([[k < len(s) for k in range(longest)] for s in seqs])
     pad = lambda rows: np.array([r + [0] * (longest - len(r)) for r in rows])
-    return crf.fit(pad(seqs), mask, pad(labels), np.array(items), np.array(feats), n, BUCKETS, 2, steps=80, rate=0.2, l2=1e-3)
+    return crf.fit(pad(seqs), mask, pad(labels), np.array(items), np.array(feats), n, BUCKETS, 2, steps=140, rate=0.2, l2=2e-4)
 
 
 def extract_texts(htmls: list[str | None], chain: crf.Chain, cache: dict[str, int]) -> list[tuple[str, int, int]]:
@@ -230,13 +298,14 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
     """id, url, text, n_chars, n_blocks and n_content_blocks for every row of `pages`."""
     box = pages.sparkSession.sparkContext.broadcast(chain or train())
     cache: dict[str, int] = {}
-    schema = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in (id_col, url_col)) + ", text string, n_chars long, n_blocks long, n_content_blocks long"
+    rows = pages.select(*(F.col(f"`{c}`").alias(n) for c, n in zip((id_col, url_col, html_col), "iuh", strict=True)))
+    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in "iu") + ", text string, n_chars long, n_blocks long, n_content_blocks long"
 
     def run(cols):
-        for a in range(0, len(cols[0]), 500):
+        for a, b in slices((h or "" for h in cols[2])):
             if len(cache) > 100_000:
                 cache.clear()
-            done = extract_texts(cols[2][a : a + 500], box.value, cache)
-            yield [cols[0][a : a + 500], cols[1][a : a + 500], [d[0] for d in done], [len(d[0]) for d in done], [d[1] for d in done], [d[2] for d in done]]
+            done = extract_texts(cols[2][a:b], box.value, cache)
+            yield [cols[0][a:b], cols[1][a:b], [d[0] for d in done], [len(d[0]) for d in done], [d[1] for d in done], [d[2] for d in done]]
 
-    return map_batches(pages, [id_col, url_col, html_col], run, schema)
+    return map_batches(rows, list("iuh"), run, schema).toDF(id_col, url_col, "text", "n_chars", "n_blocks", "n_content_blocks")
