@@ -13,6 +13,8 @@ not read; a probability of exactly one half blocks.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,11 +23,16 @@ from pyspark.sql import functions as F
 BUCKETS = 1 << 14
 #: The rules of the registered query.
 RULES = [("com/", "allow"), ("example.com/en/", "block"), ("www.example.com/en/", "allow"), ("net/es/", "block"), ("net/fr/", "block")]
-#: Hosts and paths of the labelled urls.
-BAD_HOSTS = "casino-win.example.com casinoroyal.example.org best-casino.example.net free-bets.example.com bets24.example.net sportbets.example.org cheap-pills.example.com pills-online.example.net buy-pills.example.org spam-farm.example.org linkfarm.example.com spamhub.example.net ads-track.example.com adserver.example.net track-click.example.org clicks-ads.example.com poker-win.example.net slots-bonus.example.com free-bonus.example.org win-prize.example.net lottery-win.example.com cheap-watches.example.org replica-watch.example.net payday-loan.example.com fast-loans.example.org adult-cams.example.net xxx-video.example.com porn-tube.example.org sexchat.example.net viagra-shop.example.com crypto-doubler.example.org warez-crack.example.net torrent-crack.example.com malware-drop.example.org phish-login.example.net seo-backlinks.example.com popunder-ads.example.org click-farm.example.net track-pixel.example.com free-money.example.org".split()
-GOOD_HOSTS = "news.example.com daily.example.org library.example.net museum.example.org university.example.com weather.example.net gardening.example.org recipes.example.com history.example.net science.example.org mathematics.example.com physics.example.net council.example.org hospital.example.com railway.example.net airport.example.org theatre.example.com concert.example.net orchestra.example.org school.example.com teacher.example.net students.example.org research.example.com journal.example.net letters.example.org archive.example.com maps.example.net travel.example.org mountains.example.com rivers.example.net birds.example.org botany.example.com cooking.example.net bakery.example.org books.example.com reading.example.net writer.example.org poetry.example.com language.example.net grammar.example.org thornton.example.com thereon.example.net thatcher.example.org tinned.example.com erhard.example.net inning.example.org stand.example.com heather.example.net oration.example.org ethane.example.com".split()
-PATHS = "/en/101 /de/202.html /fr/303/ /es/404 /blog/2020/post /index.html /about /en/ /a/b/c /".split()
-PREFIXES = "www. m. blog. .".split()
+#: Words of unwanted and of wanted urls, in hosts and in paths.
+BAD_WORDS = "casino poker slots slot roulette jackpot blackjack gambling gamble betting bets bet24 sportsbet bookmaker lottery bingo bonus porn xxx sex sexchat adult cams nude escort erotic viagra cialis pills pharma steroids payday loan loans cash-advance free-money free-bets win-prize winner crypto-doubler replica replicas watches-cheap counterfeit warez crack keygen torrent pirate malware phish verify-account spam spamhub linkfarm backlinks popunder adserver ads-track track-click click-farm clicks-ads track-pixel giveaway cheap-pills cheap-watches".split()
+GOOD_WORDS = "news daily library museum university weather gardening recipes history science mathematics physics council hospital railway airport theatre concert orchestra school teacher students research journal letters archive maps travel mountains rivers birds botany cooking bakery books reading writer poetry language grammar thornton thereon thatcher tinned erhard inning stand heather oration ethane report article about contact blog post index page story culture music film sport football tennis chess economy politics election health medicine garden forest water energy climate village city street house family children history-of guide lesson course lecture paper study review forum help privacy terms sussex essex scunthorpe trackside adsorption address slottery betty better between pillar pillow wincing click-here cracker escorted".split()
+#: Patterns of hosts and paths; a and b stand for words, n for a number.
+HOSTS = "a.example.com a-b.example.net ab.example.org www.a.example.com m.a.example.net blog.a-b.example.org a-n.example.com my-a.example.net b.a.example.com".split()
+PATHS = "/a /a/ /en/a/b /de/a.html /a-b/n /blog/2020/a /b/a/n /a_b.html /es/b-a/ /fr/n/a".split()
+NEUTRAL_PATHS = "/en/n /de/n.html /fr/n/ /es/n / /index.html /en/ /p/n/n /x/y/n".split()
+SYLLABLES = "an er th in on re st en ti nd ed ha le or es be ou ar ch ge ie un ei de la el io co pa ra".split()
+#: Rows of the labelled table; three in ten have an unwanted host, three in ten an unwanted path.
+LABELLED_ROWS = 12_000
 
 
 def host_of(url: Column) -> Column:
@@ -60,17 +67,34 @@ def grams(host: Column, path: Column) -> Column:
     return F.concat(*(_windows(part, col, n) for part, col in marked for n in (3, 4, 5)))
 
 
-def labelled(spark: SparkSession) -> DataFrame:
-    """host, path, label: each labelled host with every prefix and path."""
-    words = lambda xs: F.explode(F.split(F.lit(" ".join(xs)), " "))
-    hosts = spark.range(1).select(words(BAD_HOSTS).alias("h"), F.lit(1.0).alias("label")).union(spark.range(1).select(words(GOOD_HOSTS).alias("h"), F.lit(0.0).alias("label")))
-    all_ = hosts.select("*", words(PREFIXES).alias("prefix")).select("*", words(PATHS).alias("path"))
-    return all_.select(F.concat(F.when(F.col("prefix") == ".", "").otherwise(F.col("prefix")), "h").alias("host"), "path", "label").coalesce(1)
+def labelled(spark: SparkSession, seed: int = 0, rows: int = LABELLED_ROWS) -> DataFrame:
+    """host, path, label: urls built by rule from the words and patterns; an unwanted host or path is unwanted.
+
+    The words are in any place of a host or path, alone or joined, next to wanted words, numbers and
+    made-up words, so that neither part tells the label of the other.
+    """
+    draw = lambda k, n: F.pmod(F.xxhash64("id", F.lit(seed * 100 + k)), F.lit(n)).cast("int")
+    pick = lambda k, xs: F.element_at(F.array(*map(F.lit, xs)), draw(k, len(xs)) + 1)
+    made_up = lambda k: F.concat(*(pick(k + j, SYLLABLES) for j in range(3)))
+
+    def part(k: int, bad: Column, patterns: list[str]) -> Column:
+        good = F.when(draw(k, 3) == 0, made_up(k + 1)).otherwise(pick(k + 4, GOOD_WORDS))
+        one = F.when(bad, pick(k + 5, BAD_WORDS)).otherwise(good)
+        two = F.when(draw(k + 6, 2) == 0, made_up(k + 7)).otherwise(pick(k + 10, GOOD_WORDS))
+        number = draw(k + 11, 1000).cast("string")
+        text = pick(k + 12, [re.sub(r"\b(a|ab|b|n)(?![a-z])|(?<=_)b", lambda m: {"a": "<A>", "b": "<B>", "ab": "<A><B>", "n": "<N>"}[m[0]], x) for x in patterns])
+        for mark, value in (("<A>", one), ("<B>", two), ("<N>", number)):
+            text = F.replace(text, F.lit(mark), value)
+        return text
+
+    bad_host, bad_path = draw(1, 10) < 3, draw(2, 10) < 3
+    path = F.when(~bad_path & (draw(3, 2) == 0), part(40, F.lit(False), NEUTRAL_PATHS)).otherwise(part(60, bad_path, PATHS))
+    return spark.range(0, rows, 1, 1).select(part(20, bad_host, HOSTS).alias("host"), path.alias("path"), (bad_host | bad_path).cast("double").alias("label"))
 
 
 def train(table: DataFrame, buckets: int = BUCKETS) -> LogisticRegressionModel:
     data = HashingTF(inputCol="grams", outputCol="features", numFeatures=buckets).transform(table.select("label", grams(F.col("host"), F.col("path")).alias("grams")))
-    return LogisticRegression(regParam=0.01, maxIter=40).fit(data)
+    return LogisticRegression(regParam=0.001, maxIter=40).fit(data)
 
 
 def judge(pages: DataFrame, model: LogisticRegressionModel, id_col: str = "page_id", url_col: str = "url", rules: list[tuple[str, str]] = RULES) -> DataFrame:
