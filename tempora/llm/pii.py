@@ -4,14 +4,23 @@ Emails, phone numbers, card and account numbers, social security numbers, IP add
 secrets are replaced by a keyed permutation of the strings of the same format: digits become
 digits of the same script, hexadecimal stays hexadecimal, letters keep their case and script. A permutation has no collisions
 and no fixed points, so different entities stay different, an entity has one surrogate in all
-documents, and none stays as it was. Card numbers keep their check digit's validity. Names after a
-title keep script and the gender of the title; they are drawn by keyed hash from given names and
-invented surnames. As that can collide, all distinct names of the corpus are checked by a grouped
-count, and the key is changed until no two names share a surrogate.
+documents, and none stays as it was. Long entities are exchanged in blocks of `BLOCK` characters,
+each under a key that depends on all characters before it, which is a permutation again. Card
+numbers keep their check digit's validity.
+
+Names are found after a title; the names found in a document are its persons. `Mrs Doe` is the
+document's one person of that surname whose gender fits, and every later or earlier mention of a
+person's full name or surname, with or without title, gets that person's surrogate. A surrogate
+keeps script, number of words and the gender that the person's titles tell; it is drawn by keyed
+hash from given names and invented surnames, the surname from the name alone, so it is the same in
+all documents. As that can collide, all distinct persons of the corpus are checked by a grouped
+count, and the key is changed until no two share a surname.
 
 Defined results: null texts stay null, empty texts empty; text around entities is unchanged, so a
 text without entities is unchanged; overlapping finds go to the first and then the longest in the
-order of `TYPES`; repeated rows each give a row; whole texts are read. All other columns are kept.
+order of `TYPES`; a surname that two persons of a document fit is a person of its own; a name that
+no title ever announces in its document is not found; repeated rows each give a row; whole texts
+are read. All other columns are kept.
 """
 
 from __future__ import annotations
@@ -25,13 +34,14 @@ from functools import cache
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempora.llm.common import map_batches
+from tempora.llm.common import map_batches, stored
 
 #: Entity types in order of precedence, and their patterns.
 TYPES = {
     "secret": r"\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,}|(?=[0-9a-f]*[0-9])[0-9a-f]{24,}|(?=[0-9A-F]*[0-9])[0-9A-F]{32,})\b|(?<=[\"'=:\s])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{32,}={0,2}",
     "email": r"(?<![\w.+-])\w[\w.+-]*@(?:[^\W_]|-)+(?:\.(?:[^\W_]|-)+)*\.[^\W\d_]{2,}",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
+    "ipv6": r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]*::)(?=[0-9A-Fa-f:]*[0-9])(?:[0-9A-Fa-f]{1,4}(?:::?[0-9A-Fa-f]{1,4}){1,6}|::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}))(?![\w:]|\.\w)",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b(?<=[0-9]{4}|[0-9A-Z]{4})",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d)",
@@ -50,12 +60,18 @@ GIVEN = {
 CONSONANTS = {"latin": "bdfgklmnprstvwzh", "cyrillic": "бвгдзклмнпрстфхц"}
 VOWELS = {"latin": "aeio", "cyrillic": "аеио"}
 ENTITY = re.compile("|".join(f"(?P<{k}>{v})" for k, v in TYPES.items()))
+#: Characters of one exchanged block.
+BLOCK = 128
 NAME = re.compile(r"\b(?:" + "|".join(f"(?P<{k}>{v})" for k, v in TITLES.items()) + r")\b\.? +(?P<name>[^\W\d_a-zà-ÿа-я][^\W\d_]+(?:[ -][^\W\d_a-zà-ÿа-я][^\W\d_]+){0,2})")
 
 
 def _rounds(key: bytes, tag: str, half: int, value: int, k: int) -> int:
-    digest = hmac.new(key, f"{tag}|{k}|{value}".encode("utf-8", "surrogatepass"), hashlib.sha512).digest()
-    return int.from_bytes(digest * (half // 512 + 1), "big") & ((1 << half) - 1)
+    """`half` pseudo-random bits for a round."""
+    seed = f"{len(tag)}|{tag}|{k}|{half}|".encode("utf-8", "surrogatepass") + value.to_bytes(value.bit_length() // 8 + 1, "big")
+    digest = hmac.new(key, seed, hashlib.sha512).digest()
+    while len(digest) * 8 < half:
+        digest += hmac.new(key, digest[-64:] + seed, hashlib.sha512).digest()
+    return int.from_bytes(digest, "big") & ((1 << half) - 1)
 
 
 def permute(key: bytes, tag: str, x: int, n: int, back: bool = False) -> int:
@@ -124,58 +140,96 @@ def surrogate(key: bytes, kind: str, value: str) -> str:
     if kind == "iban":
         fixed = 2
     last = value.rfind(".") if kind == "email" else len(value)
-    hexa = kind == "secret" and re.fullmatch("[0-9a-f]+|[0-9A-F]+", value)
+    hexa = kind in ("secret", "ipv6") and re.fullmatch("[0-9a-f:]+|[0-9A-F:]+", value)
     sets, shape = [], []
     for k, c in enumerate(value):
-        letters = "0123456789abcdef" if hexa and value == value.lower() else "0123456789ABCDEF" if hexa else alphabet(c)
+        letters = "" if hexa and c == ":" else "0123456789abcdef" if hexa and value == value.lower() else "0123456789ABCDEF" if hexa else alphabet(c)
         if letters and fixed <= k < last:
             sets.append((k, letters))
             shape.append(str(len(letters)))
         else:
             shape.append(c)
-    n = x = 0
-    n = 1
-    for k, letters in sets:
-        x = x * len(letters) + letters.index(value[k])
-        n *= len(letters)
-    x = exchange(key, kind + ",".join(shape), x, n)
-    out = list(value)
-    for k, letters in reversed(sets):
-        x, r = divmod(x, len(letters))
-        out[k] = letters[r]
+    out, tag = list(value), kind + ",".join(shape)
+    if len(sets) > BLOCK:
+        tag = f"{kind},{len(value)}," + hashlib.sha256(tag.encode("utf-8", "surrogatepass")).hexdigest()
+    before = hashlib.sha256()
+    for a in range(0, len(sets), BLOCK):
+        part = sets[a : a + BLOCK]
+        x, n = 0, 1
+        for k, letters in part:
+            x = x * len(letters) + letters.index(value[k])
+            n *= len(letters)
+        x = exchange(key, tag if not a else f"{tag}|{a}|{before.hexdigest()}", x, n)
+        for k, letters in reversed(part):
+            x, r = divmod(x, len(letters))
+            out[k] = letters[r]
+        before.update("".join(value[k] for k, _ in part).encode("utf-8", "surrogatepass"))
     return "".join(out)
 
 
 def name_surrogate(key: bytes, gender: str, value: str, syllables: int) -> str:
     """A given name of the gender and script if there are several words, and an invented surname."""
     script = "cyrillic" if re.search("[а-яА-ЯёЁ]", value) else "latin"
-    x = int.from_bytes(hmac.new(key, f"{gender}|{value}".encode("utf-8", "surrogatepass"), hashlib.sha512).digest(), "big")
+    x = int.from_bytes(hmac.new(key, value.encode("utf-8", "surrogatepass"), hashlib.sha512).digest(), "big")
     given = GIVEN[gender if script == "latin" or gender[0] == "c" else "c" + ("f" if gender == "f" else "m")]
-    words = value.split(" ")
-    out = []
-    for _ in words[:-1]:
-        x, r = divmod(x, len(given))
-        out.append(given[r])
     last = ""
     for _ in range(syllables):
         x, r = divmod(x, 64)
         last += CONSONANTS[script][r % 16] + VOWELS[script][r // 16]
-    return " ".join([*out, last.capitalize()])
-
-
-def names_in(text: str) -> list[tuple[int, int, str, str]]:
-    """(start, end, gender, name) of names after a title."""
-    return [(m.start("name"), m.end("name"), next(k for k in TITLES if m[k]), m["name"]) for m in NAME.finditer(text)]
+    out = [last.capitalize()]
+    for _ in value.split(" ")[:-1]:
+        x, r = divmod(x, len(given))
+        out.insert(0, given[r])
+    return " ".join(out)
+
+
+def persons_in(text: str) -> dict[str, tuple[str, str]]:
+    """Of each titled name of a text: the gender and the whole name of the person that it means."""
+    titled: dict[str, set[str]] = {}
+    for m in NAME.finditer(text):
+        titled.setdefault(m["name"], set()).add(next(k for k in TITLES if m[k]))
+    told = {name: {g for g in genders if g != "n"} for name, genders in titled.items()}
+    families: dict[str, list[str]] = {}
+    for name in titled:
+        if " " in name:
+            families.setdefault(name.rsplit(" ", 1)[1], []).append(name)
+    means = {}
+    for name in titled:
+        fits = [p for p in families.get(name, []) if not told[name] or not told[p] or told[name] & told[p]]
+        means[name] = fits[0] if len(fits) == 1 else name
+    for name, person in means.items():  # a surname's titles tell the person's gender too
+        told[person] = told[person] | told[name]
+    return {name: (min(told[person]) if told[person] else "n", person) for name, person in means.items()}
+
+
+def names_in(text: str) -> list[tuple[int, int, str, str, str]]:
+    """(start, end, gender, whole name, mention) of all mentions of a text's persons."""
+    persons = persons_in(text)
+    if not persons:
+        return []
+    known = dict(persons)
+    for gender, person in persons.values():  # whole names and surnames without title, where one person is meant
+        known.setdefault(person, (gender, person))
+        last = person.rsplit(" ", 1)[-1]
+        if last not in known and len({p for _, p in persons.values() if p.rsplit(" ", 1)[-1] == last}) == 1:
+            known[last] = (gender, person)
+    some = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(known, key=lambda x: (-len(x), x)))) + r")(?!\w)")
+    return [(m.start(), m.end(), *known[m[0]], m[0]) for m in some.finditer(text)]
 
 
 def replace(text: str, key: bytes, name_key: bytes, syllables: int) -> tuple[str, list[tuple[str, str, str]]]:
     """(text with surrogates, (type, entity, surrogate) in order)."""
-    found = [(m.start(), m.end(), m.lastgroup, m[0]) for m in ENTITY.finditer(text)]
-    taken = [(a, b) for a, b, _, _ in found]
-    found += [(a, b, "name " + g, v) for a, b, g, v in names_in(text) if not any(a < d and c < b for c, d in taken)]
+    found = [(m.start(), m.end(), m.lastgroup, m[0], "") for m in ENTITY.finditer(text)]
+    taken = [(a, b) for a, b, *_ in found]
+    found += [(a, b, "name " + g, v, whole) for a, b, g, whole, v in names_in(text) if not any(a < d and c < b for c, d in taken)]
     out, at, made = [], 0, []
-    for a, b, kind, value in sorted(found):
-        new = name_surrogate(name_key, kind[5:], value, syllables) if kind.startswith("name ") else surrogate(key, kind, value)
+    for a, b, kind, value, whole in sorted(found):
+        if whole:
+            new = name_surrogate(name_key, kind[5:], whole, syllables)
+            if value != whole:
+                new = new.rsplit(" ", 1)[-1]
+        else:
+            new = surrogate(key, kind, value)
         out += [text[at:a], new]
         at = b
         made.append((kind, value, new))
@@ -183,17 +237,17 @@ def replace(text: str, key: bytes, name_key: bytes, syllables: int) -> tuple[str
 
 
 def name_plan(docs: DataFrame, text_col: str, key: bytes) -> tuple[bytes, int]:
-    """A key for names under which no two names of the corpus share a surrogate, and the surname's syllables.
+    """A key for names under which no two persons of the corpus share a surname, and the surname's syllables.
 
     The surnames are drawn from a set of at least a hundred times the square of the number of
     names, so a first key nearly always does; the grouped count proves it or asks for another.
     """
 
     def run(cols):
-        pairs = {(g, v) for t in cols[0] if t for _, _, g, v in names_in(t)}
-        yield [[g for g, _ in pairs], [v for _, v in pairs]]
+        names = {(v,) for t in cols[0] if t for _, v in persons_in(t).values()}
+        yield [[v for (v,) in names]]
 
-    names = map_batches(docs, [text_col], run, "gender string, name string").distinct()
+    names = stored(map_batches(docs, [f"`{text_col}`"], run, "name string").distinct(), "names")
     n = names.count()
     syllables = 2
     while 64**syllables < 100 * n * n:
@@ -203,38 +257,42 @@ def name_plan(docs: DataFrame, text_col: str, key: bytes) -> tuple[bytes, int]:
         name_key = hmac.new(key, f"names {attempt}".encode(), hashlib.sha256).digest()
 
         def assign(cols, name_key=name_key):
-            yield [cols[0], cols[1], [name_surrogate(name_key, g, v, syllables) for g, v in zip(*cols, strict=True)]]
+            last = [v.rsplit(" ", 1)[-1] for v in cols[0]]
+            new = [name_surrogate(name_key, "n", v, syllables).rsplit(" ", 1)[-1] for v in cols[0]]
+            yield [new, [a == b for a, b in zip(last, new, strict=True)]]
 
-        made = map_batches(names, ["gender", "name"], assign, "gender string, name string, surrogate string")
-        clash = made.groupBy("surrogate").agg(F.count("*").alias("n"), F.max(F.col("name") == F.col("surrogate")).alias("same")).filter("n > 1 or same")
+        made = map_batches(names, ["name"], assign, "surname string, same boolean")
+        clash = made.groupBy("surname").agg(F.count("*").alias("n"), F.max("same").alias("same")).filter("n > 1 or same")
         if clash.limit(1).count() == 0:
             return name_key, syllables
         attempt += 1
     return hmac.new(key, b"names 0", hashlib.sha256).digest(), syllables
 
 
-def anonymise(docs: DataFrame, key: bytes, text_col: str = "text", length_col: str | None = "n_chars", report: bool = False) -> DataFrame:
-    """All columns of `docs` with entities replaced; with `report`, also how many were, by type."""
+def anonymise(docs: DataFrame, key: bytes, text_col: str = "text", length_col: str | None = "n_chars", report: bool = False, report_cols: tuple[str, str] = ("pii_entities", "pii_types")) -> DataFrame:
+    """All columns of `docs` with entities replaced.
+
+    With `report`, also how many were, and their types, in `report_cols`; columns of `docs` that
+    have these names are given up for them.
+    """
     name_key, syllables = name_plan(docs, text_col, key)
-    cols = docs.columns
-    x = cols.index(text_col)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    if report:
-        schema += ", pii_entities long, pii_types array<string>"
+    cols = [c for c in docs.columns if not report or c not in report_cols]
+    names = [f"c{k}" for k in range(len(cols))]  # inside, names cannot clash
+    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(cols, names, strict=True)))
+    x, length = cols.index(text_col), cols.index(length_col) if length_col in cols else None
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema) + ", n_found long, types array<string>"
 
     def run(values):
-        texts, counts, types, lengths = [], [], [], None
-        if length_col in cols:
-            lengths = list(values[cols.index(length_col)])
+        values, counts, types = [list(v) for v in values], [], []
         for k, t in enumerate(values[x]):
             made = []
             if t:
-                t, made = replace(t, key, name_key, syllables)
-                if made and lengths is not None:
-                    lengths[k] = len(t)
-            texts.append(t)
+                values[x][k], made = replace(t, key, name_key, syllables)
+                if made and length is not None:
+                    values[length][k] = len(values[x][k])
             counts.append(len(made))
             types.append(sorted({kind.split(" ")[0] for kind, _, _ in made}))
-        yield [texts if c == text_col else lengths if c == length_col and lengths is not None else v for c, v in zip(cols, values, strict=True)] + ([counts, types] if report else [])
+        yield [*values, counts, types]
 
-    return map_batches(docs, [f"`{c}`" for c in cols], run, schema)
+    out = map_batches(rows, names, run, schema).toDF(*cols, *report_cols)
+    return out if report else out.toDF(*names, *report_cols).select(*names).toDF(*cols)
