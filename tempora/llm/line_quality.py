@@ -2,6 +2,9 @@
 
 Lines that hold a word form the sequence; Viterbi decoding marks each as content or boilerplate.
 A text is kept if it passes the base rules and at least half of its words are in content lines.
+The chain is trained on labelled texts. Their quality labels give the lines' labels: lines of good
+texts are content, lines that only bad texts have are boilerplate, and so are lines that several
+otherwise different texts repeat; a few fixed lines are added. Cues are a feature only.
 Base counts follow words `[^\\x20\\x09-\\x0D]+`: word_chars (code points in words), n_symbols
 (characters of `[#*$%&|<>]`), n_dup_lines (lines with a word that equal an earlier line) and
 n_repeat_words (words in windows of eight words that occur twice or more in the text).
@@ -27,8 +30,10 @@ WINDOW = 8
 MIN_WORDS = 20
 REPEAT_PERCENT = 30
 CONTENT_SHARE = 0.5
-#: Labelled rows of each class that training reads at most.
-TRAIN_DOCS = 300
+#: Labelled rows of each class that training reads at most, and the bytes of the largest text among them.
+TRAIN_DOCS, TRAIN_BYTES = 300, 1 << 18
+#: Otherwise different texts in which a line makes it boilerplate.
+SHARED_BY = 3
 #: Cues of lines that are no prose.
 CUES = re.compile(r"cookie|licen[cs]ed? under|copyright|all rights reserved|terms of (?:use|service)|privacy|subscribe|log ?in|sign up|read more|click here|share (?:on|this)|follow us|newsletter|powered by|permission is hereby", re.I)
 #: Labelled lines that every model is trained on, besides the labelled rows.
@@ -114,12 +119,24 @@ def lay_out(texts: list[str]) -> dict:
     return {"data": data, "ids": ids, "lines": lines, "owner": owner, "repeated": repeated & real, "words": words, "real": real, "items": number[items[ok]], "feats": feats[ok], "n": int(real.sum())}
 
 
-def train(rows: list[tuple[str, int]]) -> crf.Chain:
-    """rows: (text, 1 if good). Lines of good texts count as content unless a cue says otherwise.
+def shared_lines(texts: list[str], least: int = SHARED_BY) -> set[str]:
+    """Lines in at least so many texts; texts of the same longest line are copies and count once."""
+    copies: dict[str, set[str]] = defaultdict(set)
+    for text in texts:
+        lines = {x for x in text.split("\n") if x.strip()}
+        if lines:
+            copies[max(lines, key=lambda x: (len(x), x))] |= lines
+    count: dict[str, int] = defaultdict(int)
+    for longest, lines in copies.items():
+        for line in lines - {longest}:
+            count[line] += 1
+    return {x for x, n in count.items() if n >= least}
+
 
-    In a bad text only the lines that no good text shares count as boilerplate.
-    """
+def train(rows: list[tuple[str, int]]) -> crf.Chain:
+    """rows: (text, 1 if good)."""
     good_lines = {x for t, q in rows if q for x in t.split("\n")}
+    shared = shared_lines([t for t, _ in rows])
     texts = [t for t, _ in rows] + BOILERPLATE + CONTENT
     flags = [q for _, q in rows] + [0] * len(BOILERPLATE) + [1] * len(CONTENT)
     laid = lay_out(texts)
@@ -128,7 +145,7 @@ def train(rows: list[tuple[str, int]]) -> crf.Chain:
     for line, doc, real in zip(laid["lines"], laid["owner"].tolist(), laid["real"].tolist(), strict=True):
         if real:
             text = line.decode("utf-8", "replace")
-            labels[at] = (flags[doc] or text in good_lines) and not CUES.search(text)
+            labels[at] = (flags[doc] or text in good_lines) and text not in shared
             at += 1
     owner = laid["owner"][laid["real"]]
     counts = np.bincount(owner, minlength=len(texts))
@@ -181,7 +198,7 @@ def measure(texts: list[str], chain: crf.Chain) -> dict[str, np.ndarray]:
 
 
 def sample(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> list[tuple[str, int]]:
-    """At most `per_class` labelled texts of each class, chosen by a hash of the id."""
+    """At most about `per_class` labelled texts of each class, of at most `TRAIN_BYTES`, chosen by a hash of the id."""
     known = labels.filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull()).select("doc_id", "quality").distinct()
     counts = {r.quality: r.n for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}
     if not counts:
@@ -189,7 +206,7 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> l
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
     share = F.coalesce(*(F.when(F.col("quality") == q, min(1.0, 1.3 * per_class / n)) for q, n in counts.items()))
     picked = known.filter(place < share)
-    text = docs.select("doc_id", "text").filter(F.col("text").isNotNull())
+    text = docs.select("doc_id", "text").filter(F.col("text").isNotNull() & (F.octet_length("text") <= TRAIN_BYTES))
     rows = text.join(F.broadcast(picked), "doc_id").orderBy(F.xxhash64("doc_id"), "text").limit(3 * per_class).collect()
     return [(r.text, int(r.quality)) for r in rows]
 
@@ -197,7 +214,9 @@ def sample(docs: DataFrame, labels: DataFrame, per_class: int = TRAIN_DOCS) -> l
 def judge(docs: DataFrame, chain: crf.Chain, id_col: str = "doc_id", text_col: str = "text", content_share: float = CONTENT_SHARE) -> DataFrame:
     """id, n_words, the four base counts, base_failed, kept and content_share for every row."""
     box = docs.sparkSession.sparkContext.broadcast(chain)
-    schema = f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, kept boolean, content_share double"
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("x"))
+    names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    schema = f"id {rows.schema['id'].dataType.simpleString()}, " + ", ".join(f"{n} long" for n in names) + ", base_failed boolean, kept boolean, content_share double"
 
     def run(cols):
         texts = [t or "" for t in cols[1]]
@@ -205,7 +224,6 @@ def judge(docs: DataFrame, chain: crf.Chain, id_col: str = "doc_id", text_col: s
             m = measure(texts[a:b], box.value)
             failed = (m["n_words"] < MIN_WORDS) | (100 * m["n_repeat_words"] > REPEAT_PERCENT * m["n_words"])
             kept = ~failed & (m["content_share"] >= content_share)
-            names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
             yield [cols[0][a:b], *(m[k].tolist() for k in names), failed.tolist(), kept.tolist(), m["content_share"].tolist()]
 
-    return map_batches(docs, [id_col, text_col], run, schema)
+    return map_batches(rows, ["id", "x"], run, schema).withColumnRenamed("id", id_col)
