@@ -7,8 +7,11 @@ sum of its 5-grams' log probabilities. A document is kept if its perplexity is a
 language's quantile of trusted perplexities.
 
 A character's code is its code point modulo 4096, so five make 60 bits; a text is preceded by four
-zeros. The looked-up 5-grams (code and log probability) are broadcast while they are at most
-`BROADCAST_ROWS`; beyond it, each document's counted 5-grams are joined with them by shuffle.
+zeros. The looked-up 5-grams (code and log probability) are dealt by hash into shards of about
+`BROADCAST_ROWS` rows. The documents are joined with one shard at a time, which is broadcast, and
+keep their running sums, so neither the driver nor a task ever holds more than a shard; with a bound
+of 0, their counted 5-grams are joined with the table by shuffle instead. Log probabilities are
+whole numbers of 2^-32, so that sums, and verdicts at the threshold, are the same in any order.
 
 Defined results: null and empty texts have no perplexity and aren't kept; a null or unseen
 language takes the quantile over all trusted text; without trusted text nothing is rejected
@@ -27,6 +30,8 @@ from tempora.llm.common import map_batches, slices, stored
 ORDER = 5
 BITS = 12
 BROADCAST_ROWS = 6_000_000
+#: A log probability of 1 in the fixed-point numbers that are summed.
+ONE = 1 << 32
 QUANTILE = 0.995
 SMALL_LABELS = 1_000_000
 
@@ -124,28 +129,41 @@ def look_up(wanted: DataFrame, model: list[tuple[DataFrame, DataFrame]]) -> Data
         rest = met.filter("p is null").withColumn("context", _context(F.col("short")))
         rest = rest.join(back, "context", "left").select("code", _shorter(F.col("short"), order).alias("short"), (F.col("back") + F.log(F.coalesce("gamma", F.lit(1.0)))).alias("back"))
     last = rest.select("code", (F.col("back") - float(np.log(1 << BITS))).alias("lp"))
-    return stored(done.union(last), "looked-up")
-
-
-def _score_broadcast(docs: DataFrame, known: DataFrame, columns: list[str]) -> DataFrame:
-    rows = known.toArrow()
-    code, lp = np.asarray(rows.column("code")), np.asarray(rows.column("lp"))
-    by = np.argsort(code)
-    box = docs.sparkSession.sparkContext.broadcast((code[by], lp[by].astype(np.float32)))
-    schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns) + ", n long, lp double"
-
-    def run(cols):
-        code, lp = box.value
-        texts = [t or "" for t in cols[-1]]
-        for a, b in slices(texts, 2 << 20):
-            own, size = codes(texts[a:b])
-            # sorted look-ups walk the table in order; each distinct code is looked up once
-            distinct, at = np.unique(own, return_inverse=True)
-            total = np.concatenate([[0.0], np.cumsum(lp[np.searchsorted(code, distinct)][at], dtype=np.float64)])
-            ends = np.cumsum(size)
-            yield [*(c[a:b] for c in cols[:-1]), size.tolist(), (total[ends] - total[ends - size]).tolist()]
-
-    return map_batches(docs, [*columns, "x"], run, schema)
+    return stored(done.union(last).select("code", F.round(F.col("lp") * ONE).cast("long").alias("lp")), "looked-up")
+
+
+def _score_shards(docs: DataFrame, known: DataFrame, columns: list[str], shard_rows: int) -> DataFrame:
+    """columns, n and lp of every document; known has as many rows in a shard, more or less."""
+    parts = max(1, -(-known.count() // shard_rows))
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+    scored = docs.withColumns({"n": F.lit(0).cast("long"), "lp": F.lit(0).cast("long")})
+    for part in range(parts):
+        own = known if parts == 1 else known.filter(F.pmod(F.xxhash64("code"), F.lit(parts)) == part)
+        rows = own.toArrow()
+        code, lp = np.asarray(rows.column("code")), np.asarray(rows.column("lp"))
+        by = np.argsort(code)
+        box = docs.sparkSession.sparkContext.broadcast((code[by], lp[by]))
+        keep = [*columns, "x"] if part + 1 < parts else columns
+
+        def run(cols, box=box, keep=keep):
+            code, lp = box.value
+            texts = [t or "" for t in cols[-3]]
+            for a, b in slices(texts, 2 << 20):
+                own, size = codes(texts[a:b])
+                # sorted look-ups walk the table in order; each distinct code is looked up once
+                distinct, at = np.unique(own, return_inverse=True)
+                place = np.minimum(np.searchsorted(code, distinct), max(0, len(code) - 1))
+                value = np.where(code[place] == distinct, lp[place], 0) if len(code) else np.zeros(len(distinct), np.int64)
+                total = np.concatenate([[0], np.cumsum(value[at])])
+                ends = np.cumsum(size)
+                before = np.array(cols[-1][a:b], np.int64)
+                yield [*(c[a:b] for c in cols[: len(keep)]), size.tolist(), (before + total[ends] - total[ends - size]).tolist()]
+
+        scored = map_batches(scored, [*columns, "x", "n", "lp"], run, kinds + ", x string" * (len(keep) > len(columns)) + ", n long, lp long")
+        if part + 1 < parts:
+            scored = stored(scored, "part-scored")
+            box.unpersist()
+    return scored
 
 
 def _score_join(docs: DataFrame, known: DataFrame, columns: list[str]) -> DataFrame:
@@ -159,7 +177,7 @@ def _score_join(docs: DataFrame, known: DataFrame, columns: list[str]) -> DataFr
     keyed = docs.withColumn("text_key", F.md5(F.coalesce("x", F.lit(""))))
     own = map_batches(keyed.dropDuplicates(["text_key"]), ["text_key", "x"], run, "text_key string, code long, k long")
     sums = own.join(known, "code").groupBy("text_key").agg(F.sum("k").alias("n"), F.sum(F.col("k") * F.col("lp")).alias("lp"))
-    return keyed.join(sums, "text_key", "left").select(*columns, F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("lp", F.lit(0.0)).alias("lp"))
+    return keyed.join(sums, "text_key", "left").select(*columns, F.coalesce("n", F.lit(0)).cast("long").alias("n"), F.coalesce("lp", F.lit(0)).cast("long").alias("lp"))
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", quantile: float = QUANTILE, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
@@ -172,13 +190,14 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
     counted = stored(counts(rows), "counted")
     known = look_up(counted, train(counted))
     columns = ["id", "lang", "trusted"]
-    score = _score_broadcast if known.count() <= broadcast_rows else _score_join
-    scored = score(rows, known, columns)
-    scored = stored(scored.select(*columns, F.col("n").alias("n_scored"), F.when(F.col("n") > 0, F.exp(-F.col("lp") / F.col("n"))).alias("perplexity")), "scored")
+    scored = _score_shards(rows, known, columns, broadcast_rows) if broadcast_rows else _score_join(rows, known, columns)
+    scored = stored(scored.select(*columns, F.col("n").alias("n_scored"), F.when(F.col("n") > 0, F.exp(-F.col("lp") / F.lit(float(ONE)) / F.col("n"))).alias("perplexity")), "scored")
     good = scored.filter("trusted and perplexity is not null")
     limit = F.percentile_approx("perplexity", quantile, 10_000)
     by_lang = good.filter("lang is not null").groupBy("lang").agg(limit.alias("own"))
     whole = good.agg(limit.alias("of_all"))
+    by_lang = stored(by_lang, "thresholds")  # of few rows, but for a table of unbounded languages
+    by_lang = F.broadcast(by_lang) if by_lang.count() <= SMALL_LABELS else by_lang
     out = scored.join(by_lang, "lang", "left").join(F.broadcast(whole), how="left")
     threshold = F.coalesce("own", "of_all")
     return out.select(F.col("id").alias(id_col), "lang", "n_scored", "perplexity", threshold.alias("threshold"), (F.col("perplexity").isNotNull() & (threshold.isNull() | (F.col("perplexity") <= threshold))).alias("kept"))
