@@ -7,7 +7,8 @@ with the largest sum of the words' forward-backward probabilities; the score is
 
 Defined results: null, empty and letterless text gives `und` and score 0; ties go to the
 alphabetically first language; repeated rows each give a row; an empty table gives no rows;
-without any labelled row everything is `und`. Other columns of the input are not read.
+without any labelled row everything is `und`; more than `MOST_LANGS` languages are an error. Other
+columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -26,9 +27,12 @@ from tempora.llm.common import map_batches, slices
 WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 #: Rows of each language that training reads at most (a bounded sample by hash of the id).
 TRAIN_DOCS = 100
+#: Languages that one model can learn.
+MOST_LANGS = 1000
 #: Hash buckets of the features.
 BUCKETS = 1 << 16
-#: Words of each language that training sequences hold, unmixed; as many more are mixed.
+#: Words of each language that training sequences hold, unmixed, dealt evenly over the sampled texts; as
+#: many more are mixed.
 TRAIN_WORDS = 12_000
 #: Words of one training sequence.
 SPAN = 32
@@ -73,9 +77,12 @@ def train(rows: list[tuple[str, str]], seed: int = 7) -> Model:
         return Model([], None)
     vocab: dict = defaultdict()
     vocab.default_factory = vocab.__len__
-    streams: list[list[int]] = [[] for _ in langs]
-    for text, lang in rows:
-        streams[langs.index(lang)].extend(vocab[w] for w in WORD.findall((text or "").lower()))
+    pieces: list[list[tuple[int, int, list[int]]]] = [[] for _ in langs]
+    for k, (text, lang) in enumerate(rows):
+        words = [vocab[w] for w in WORD.findall((text or "").lower())]
+        pieces[langs.index(lang)] += [(at, k, words[at : at + SPAN]) for at in range(0, len(words), SPAN)]
+    # the first words of every text, then the next of every text: a long one doesn't fill the sample
+    streams = [[w for *_, piece in sorted(p, key=lambda x: x[:2]) for w in piece] for p in pieces]
     if not vocab:
         return Model([], None)
     rng = np.random.default_rng(seed)
@@ -130,7 +137,9 @@ def sample(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     The cut by hash keeps the reading distributed; only the sample reaches the driver.
     """
     known = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("x"), F.col(lang_col).alias("l"))
-    counts = {r.l: r.n for r in known.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(200).collect()}
+    counts = {r.l: r.n for r in known.groupBy("l").agg(F.count("*").alias("n")).limit(MOST_LANGS + 1).collect()}
+    if len(counts) > MOST_LANGS:
+        raise ValueError(f"more than {MOST_LANGS} languages")
     if not counts:
         return []
     place = F.pmod(F.xxhash64("i", "l"), F.lit(1_000_000)) / 1_000_000

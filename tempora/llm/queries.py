@@ -79,25 +79,33 @@ def op10_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 LEAST_SHARE = 0.3
 
 
+def plain_names(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """The documents under names that clash with nothing (c0, c1, ...), and those of doc_id and text."""
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    return docs.toDF(*names), names[docs.columns.index("doc_id")], names[docs.columns.index("text")]
+
+
 def in_known_language(docs: DataFrame, least: float = LEAST_SHARE) -> DataFrame:
     model = language_id.train(language_id.sample(docs.filter(~held_out())))
-    named = language_id.predict(docs, model, keep=docs.columns)
-    return named.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*(f"`{c}`" for c in docs.columns))
+    rows, key, text = plain_names(docs)
+    named = language_id.predict(rows, model, id_col=key, text_col=text, keep=rows.columns)
+    return named.filter((F.col("lang_pred") != "und") & (F.col("score") >= least)).select(*rows.columns).toDF(*docs.columns)
 
 
 def one_of_each_group(docs: DataFrame) -> DataFrame:
     """Rows of equal doc_id and text are one document here."""
-    rows = stored(minhash_forest.join(docs), "groups")
-    keyed = docs.withColumns({"_id": F.col("doc_id"), "_exact": F.xxhash64("text")})
-    same = lambda keys: F.col("_id").eqNullSafe(keys["k_id"]) & (F.col("_exact") == keys["k_exact"])
-    keys = rows.select(F.col("doc_id").alias("k_id"), F.col("exact").alias("k_exact"), "stays")
+    found = stored(minhash_forest.join(docs.select("doc_id", "text")), "groups")
+    rows, key, text = plain_names(docs)
+    keyed = rows.withColumns({"r_id": F.col(key), "r_exact": F.xxhash64(text)})
+    same = lambda keys: F.col("r_id").eqNullSafe(keys["k_id"]) & (F.col("r_exact") == keys["k_exact"])
+    keys = found.select(F.col("doc_id").alias("k_id"), F.col("exact").alias("k_exact"), "stays")
     gone = stored(keys.filter(~F.col("stays")).select("k_id", "k_exact").distinct(), "gone")
     gone = F.broadcast(gone) if gone.count() <= minhash_forest.SMALL_ROWS else gone
     left = keyed.join(gone, same(gone), "left_anti")
     again = stored(keys.filter("stays").groupBy("k_id", "k_exact").agg(F.count("*").alias("n")).filter("n > 1").select("k_id", "k_exact"), "again")
     if again.limit(1).count():  # rows that repeat: the first of each
-        left = left.join(again, same(again), "left_anti").unionByName(left.join(again, same(again), "left_semi").dropDuplicates(["_id", "_exact"]))
-    return left.drop("_id", "_exact")
+        left = left.join(again, same(again), "left_anti").unionByName(left.join(again, same(again), "left_semi").dropDuplicates(["r_id", "r_exact"]))
+    return left.select(*rows.columns).toDF(*docs.columns)
 
 
 def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
