@@ -2,16 +2,24 @@
 
 Texts are lower-cased; words are runs of letters and digits; shingles are five consecutive words
 (a text of fewer words is one shingle). Texts with the same word sequence form a class, found by
-hash, and only one text of each class is compared further. Each of `TREES` trees is a prefix trie
-of the signatures, matched at one depth: from depth `DEPTH` the prefixes are shortened until the
-expected recall of a pair at the threshold reaches `RECALL`. A node there holds all texts of the
-nodes below it, so the deeper levels have no pairs of their own; this is banding at that depth. All
-pairs of a node are compared: those of at most `FEW` texts as rows, larger ones in blocks of about
-`BLOCK` texts, each with each, where blocks of texts whose sizes rule out the threshold are left
-out. A node of m similar texts costs m squared comparisons, spread over tasks of bounded size, but
-a block pair gives only counts and links that span it, not its pairs. A pair of several nodes counts
-once. Every link is the exact Jaccard of whole shingle sets; connected texts get the smallest doc_id
-as their class, and n_links counts all verified links of a text.
+hash, and only one text of each class is compared further.
+
+Each of `TREES` trees is a prefix trie of the signatures: a row holds a text's nodes from the longest
+prefix (`DEPTH` values) to the shortest that a pair at the threshold can need (see `min_depth`). Texts
+that are alone at the shortest prefix have no partner. The others are matched at the longest prefix
+first, and every pair that meets is verified by the exact Jaccard of whole shingle sets. A found link
+of similarity s was met with a known probability p(s), so 1 / p(s) - 1 links like it are expected to be
+missing; a text whose found links are less than `RECALL` of found and expected ones, counting one more
+at the threshold, has its prefixes shortened by one value and meets all texts of the larger nodes. So
+texts of dense groups end at long prefixes, and texts without links go on to the shortest.
+
+A shorter prefix is compared only where its node branches, a pair that met at a longer prefix or in
+another node of the level is not compared again. All pairs of a node are compared: those of at most
+`FEW` texts as rows, larger ones in blocks of about `BLOCK` texts, each with each, where blocks of
+texts whose sizes rule out the threshold are left out. A node of m similar texts costs m squared
+comparisons, spread over tasks of bounded size, but a block pair gives only counts and links that
+span it, not its pairs. Connected texts get the smallest doc_id as their class, and n_links counts
+all verified links of a text.
 
 Defined results: null and wordless texts are alone (their own class, no links); repeated rows
 each give a row; ties go to the smaller id; null ids are kept as rows of their own; an empty table
@@ -35,7 +43,8 @@ from tempora.llm.common import map_batches, slices, stored
 SHINGLE = 5
 THRESHOLD = 0.8
 TREES, DEPTH = 16, 6
-RECALL = 0.999
+#: Share of a text's links that is expected to be found before its prefixes stay as they are.
+RECALL = 0.9997
 #: A table of at most so many rows of 16 bytes is broadcast; larger ones are joined by shuffle.
 SMALL_ROWS = 1_000_000
 #: Texts of a node that are paired by a join; texts and shingles of a block of a larger node.
@@ -43,9 +52,14 @@ FEW, BLOCK, BLOCK_SHINGLES = 16, 512, 1 << 19
 WORD = re.compile(r"[^\W_]+")
 
 
+def chance(similarity, depth: int, trees: int):
+    """The probability that a pair shares a prefix of `depth` values in some tree."""
+    return 1 - (1 - similarity**depth) ** trees
+
+
 def min_depth(threshold: float = THRESHOLD, recall: float = RECALL, trees: int = TREES, depth: int = DEPTH) -> int:
     """The longest prefix at which a pair at the threshold is met in some tree with this probability."""
-    return next(d for d in range(depth, 0, -1) if d == 1 or 1 - (1 - threshold**d) ** trees >= recall)
+    return next(d for d in range(depth, 0, -1) if d == 1 or chance(threshold, d, trees) >= recall)
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -108,48 +122,36 @@ def signatures(value: np.ndarray, many: np.ndarray, n_hashes: int) -> np.ndarray
     return out
 
 
-def keys_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, exact (hash of the raw text), key (hash of the word sequence, null without words), n_shingles."""
-    memory: dict = {}
-    kind = docs.schema[id_col].dataType.simpleString()
-
-    def run(cols):
-        texts = [t or "" for t in cols[1]]
-        for a, b in slices(texts, 1 << 20):
-            _, many, keys = shingles(texts[a:b], memory)
-            yield [cols[0][a:b], cols[2][a:b], keys, many.tolist()]
-
-    return map_batches(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("x"), F.xxhash64(text_col).alias("exact")), ["id", "x", "exact"], run, f"id {kind}, exact long, key binary, n_shingles long")
-
-
-def prefixes(docs: DataFrame, text_col: str, trees: int, depths: list[int]) -> DataFrame:
-    """key and its node in every tree at every depth, as 64-bit hashes."""
+def texts_of(docs: DataFrame, id_col: str, text_col: str, trees: int, depths: list[int]) -> DataFrame:
+    """id, exact (hash of the raw text), key (hash of the word sequence, null without words), and the
+    text's nodes, tree by tree from the longest prefix, as 64-bit hashes (null where a slice has them already)."""
     memory: dict = {}
     top = max(depths)
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(f"`{text_col}`").alias("exact"), F.col(f"`{text_col}`").alias("x"))
 
     def run(cols):
-        texts = [t or "" for t in cols[0]]
+        texts = [t or "" for t in cols[2]]
         for a, b in slices(texts, 1 << 20):
             value, many, keys = shingles(texts[a:b], memory)
-            seen, pick = set(), []
-            rows = [k for k in keys if k]
-            for k, key in enumerate(rows):  # copies in one slice give the same nodes
-                if key not in seen:
-                    seen.add(key)
-                    pick.append(k)
-            if not pick:
-                continue
-            sig = signatures(value, many, trees * top)[pick].astype(np.uint64)
-            nodes = []
-            for t in range(trees):
-                now = np.full(len(pick), t + 1, np.uint64)
-                for d in range(top):
-                    now = _mix((now + sig[:, t * top + d]) * np.uint64(0x9E3779B97F4A7C15))
-                    if d + 1 in depths:
-                        nodes.append(now.view(np.int64))
-            yield [[rows[k] for k in pick], list(np.stack(nodes, 1))]
-
-    return map_batches(docs, [text_col], run, "key binary, nodes array<long>")
+            first: dict[bytes, int] = {}
+            for k, key in enumerate(keys):
+                if key:
+                    first.setdefault(key, k)
+            pick = np.array(sorted(first.values()), np.int64)
+            nodes: list = [None] * (b - a)
+            if len(pick):
+                sig = signatures(value, many, trees * top)[(np.cumsum(many > 0) - 1)[pick]].astype(np.uint64)
+                levels = []
+                for t in range(trees):
+                    now, by_depth = np.full(len(pick), t + 1, np.uint64), {}
+                    for d in range(top):
+                        now = by_depth[d + 1] = _mix((now + sig[:, t * top + d]) * np.uint64(0x9E3779B97F4A7C15))
+                    levels += [by_depth[d].view(np.int64) for d in depths]
+                for k, own in zip(pick.tolist(), np.stack(levels, 1), strict=True):
+                    nodes[k] = own
+            yield [cols[0][a:b], cols[1][a:b], keys, nodes]
+
+    return map_batches(rows, ["id", "exact", "x"], run, f"id {rows.schema['id'].dataType.simpleString()}, exact long, key binary, nodes array<long>")
 
 
 def sets_of(docs: DataFrame, text_col: str) -> DataFrame:
@@ -199,27 +201,37 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     linked to by a verified pair. n_copies: rows of the same word sequence. stays: true for the
     rows of the text and id that represent the class.
     """
-    rows = stored(keys_of(docs, id_col, text_col), "keys")
+    depths = list(range(depth, min_depth(threshold, recall, trees, depth) - 1, -1))
+    rows = stored(texts_of(docs, id_col, text_col, trees, depths), "texts")
     worded = rows.filter("key is not null")
     classes = stored(worded.groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("n_copies")), "classes")
-    nodes = prefixes(docs, text_col, trees, [min_depth(threshold, recall, trees, depth)]).select("key", F.explode("nodes").alias("node"))
-    nodes = stored(nodes, "nodes")
-    # map-side minima and maxima make large groups of copies cheap
-    shared = nodes.groupBy("node").agg(F.min("key").alias("lead"), F.max("key").alias("last")).filter("lead <> last").select("node")
-    members = stored(nodes.join(shared, "node", "left_semi").distinct(), "members")
-    crowded = stored(members.groupBy("node").agg(F.count("*").alias("n")).filter(F.col("n") > few).select("node"), "crowded")
-    small = members.join(crowded, "node", "left_anti")
-    large = stored(members.join(crowded, "node", "left_semi"), "large")
-    crowd = stored(large.groupBy("key").agg(F.collect_set("node").alias("own")), "crowd")
-    pairs = small.select("node", F.col("key").alias("a")).join(small.select("node", F.col("key").alias("b")), "node").filter("a < b").select("a", "b").distinct()
-    # a pair that also shares a large node is compared and counted there
-    one, two = (_maybe_broadcast(crowd.toDF(c, f"own_{c}"), crowd.count()) for c in "ab")
-    pairs = pairs.join(one, "a", "left").join(two, "b", "left").filter(~F.coalesce(F.arrays_overlap("own_a", "own_b"), F.lit(False))).select("a", "b")
-    links = stored(verify(docs, rows, stored(pairs, "pairs"), id_col, text_col).filter(F.col("jaccard") >= threshold).select("a", "b"), "links")
-    found = stored(compare_blocks(large, crowd, docs, rows, id_col, text_col, threshold, block), "found")
-    edges = links.unionByName(found.filter("b is not null").select("a", "b"))
-    ends = links.select(F.explode(F.array("a", "b")).alias("key"), F.lit(1).cast("long").alias("n")).unionByName(found.filter("b is null").select(F.col("a").alias("key"), "n"))
-    ends = ends.groupBy("key").agg(F.sum("n").alias("n_links"))
+    members = stored(branches(rows, trees, len(depths)), "members")
+    sets = wanted_sets(docs, rows, members.select("key"), id_col, text_col)
+    tags = stored(members.select("key", F.lit(True).alias("open")).distinct(), "tags")
+    edges = sets.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0)
+    ends = sets.select("key", F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("missed")).limit(0)
+    for k, d in enumerate(depths):
+        level = stored(level_of(members, tags, k), "level")
+        if level.limit(1).count() == 0:
+            continue
+        crowd = level.filter(F.col("n") > few).groupBy("key").agg(F.collect_set("node").alias("own"))
+        seen = F.array_distinct(F.flatten(F.collect_list(F.array(*(f"p{j}" for j in range(k)))))) if k else F.lit(None).cast("array<long>")
+        known = level.select("key").distinct().join(tags, "key").join(crowd, "key", "left").join(members.groupBy("key").agg(seen.alias("seen")) if k else members.select("key", seen.alias("seen")).distinct(), "key")
+        known = stored(known.select("key", "open", *(F.coalesce(c, F.array().cast("array<long>")).alias(c) for c in ("own", "seen"))), "known")
+        small = level.filter(F.col("n") <= few).select("node", "key").join(_maybe_broadcast(known, known.count() * 8), "key")
+        one, two = (small.select("node", *(F.col(c).alias(f"{c}_{side}") for c in ("key", "open", "own", "seen"))) for side in "ab")
+        # a pair that also shares a large node of the level is compared there
+        pairs = one.join(two, "node").filter("key_a < key_b and (open_a or open_b) and not arrays_overlap(own_a, own_b) and not arrays_overlap(seen_a, seen_b)").select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
+        links = stored(verify(pairs, sets).filter(F.col("jaccard") >= threshold), "links")
+        missed = 1 / chance(F.col("jaccard"), d, trees) - 1
+        found = stored(compare_blocks(level.filter(F.col("n") > few).select("key", "node"), known, sets, threshold, block, d, trees), "found")
+        edges = edges.unionByName(links.select("a", "b")).unionByName(found.filter("b is not null").select("a", "b"))
+        new = links.select(F.explode(F.array("a", "b")).alias("key"), F.lit(1).cast("long").alias("n"), missed.alias("missed"))
+        new = new.unionByName(found.filter("b is null").select(F.col("a").alias("key"), "n", "missed"))
+        ends = stored(ends.unionByName(new).groupBy("key").agg(F.sum("n").alias("n"), F.sum("missed").alias("missed")), "ends")
+        unmet = F.col("missed") + float(1 / chance(threshold, d, trees) - 1)
+        tags = stored(tags.join(ends, "key", "left").select("key", (F.col("open") & F.coalesce(F.col("n") / (F.col("n") + unmet) < recall, F.lit(True))).alias("open")), "tags")
+    ends = ends.select("key", F.col("n").alias("n_links"))
     groups = components(edges)
     text = classes.join(groups.withColumnRenamed("node", "key"), "key", "left").join(ends, "key", "left").select("key", "rep", "n_copies", F.coalesce("root", "key").alias("root"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     text = stored(text, "texts")
@@ -231,19 +243,36 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     return out.unionByName(alone).withColumnRenamed("id", id_col)
 
 
+def branches(rows: DataFrame, trees: int, levels: int) -> DataFrame:
+    """key and its nodes p0 (longest prefix), p1, ... in each tree where the shortest prefix has another text too."""
+    own = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: F.struct(*(F.get("nodes", t * levels + j).alias(f"p{j}") for j in range(levels))))
+    own = rows.filter("nodes is not null").select("key", F.explode(own).alias("b")).select("key", "b.*")
+    root = f"p{levels - 1}"
+    # map-side minima and maxima make large groups of copies cheap
+    shared = own.groupBy(root).agg(F.min("key").alias("lead"), F.max("key").alias("last")).filter("lead <> last").select(root)
+    return own.join(shared, root, "left_semi").distinct()
+
+
+def level_of(members: DataFrame, tags: DataFrame, k: int) -> DataFrame:
+    """key, node and texts of the node (n) for the nodes of a level that have pairs to compare."""
+    at = members.select("key", F.col(f"p{k}").alias("node"), (F.col(f"p{k - 1}") if k else F.lit(0)).alias("below")).join(_maybe_broadcast(tags, tags.count()), "key")
+    heads = at.groupBy("node").agg(F.count("*").alias("n"), F.min("below").alias("low"), F.max("below").alias("high"), F.max("open").alias("any"))
+    heads = heads.filter("n > 1 and any" + " and low <> high" * (k > 0))
+    return at.select("key", "node").join(heads.select("node", "n"), "node")
+
+
 def wanted_sets(docs: DataFrame, rows: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """key and shingles of the wanted keys; one row of each wanted text is read again for it."""
     wanted = stored(wanted.distinct(), "wanted")
     picked = rows.filter("key is not null").join(_maybe_broadcast(wanted, wanted.count()), "key").groupBy("key").agg(F.min(F.struct("id", "exact")).alias("m")).select("key", F.col("m.id").alias("id"), F.col("m.exact").alias("exact"))
     picked = stored(picked, "picked")
-    texts = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("x"), F.xxhash64(text_col).alias("e"))
+    texts = docs.select(F.col(f"`{id_col}`").alias("i"), F.col(f"`{text_col}`").alias("x"), F.xxhash64(f"`{text_col}`").alias("e"))
     texts = texts.join(_maybe_broadcast(picked, picked.count()), F.expr("i <=> id and e = exact")).select("key", "x")
-    return stored(sets_of(texts, "x"), "sets").dropDuplicates(["key"])
+    return stored(sets_of(texts, "x").dropDuplicates(["key"]), "sets")
 
 
-def verify(docs: DataFrame, rows: DataFrame, pairs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+def verify(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b, jaccard: exact, on whole shingle sets."""
-    sets = wanted_sets(docs, rows, pairs.select(F.explode(F.array("a", "b")).alias("key")), id_col, text_col)
     one, two = sets.select(F.col("key").alias("a"), F.col("shingles").alias("s")), sets.select(F.col("key").alias("b"), F.col("shingles").alias("t"))
     both = F.size(F.array_intersect("s", "t"))
     return pairs.join(one, "a").join(two, "b").select("a", "b", (both / (F.size("s") + F.size("t") - both)).alias("jaccard"))
@@ -287,15 +316,15 @@ def in_common(one: tuple[np.ndarray, np.ndarray], two: tuple[np.ndarray, np.ndar
     return both
 
 
-def compare_blocks(large: DataFrame, crowd: DataFrame, docs: DataFrame, rows: DataFrame, id_col: str, text_col: str, threshold: float, block: int) -> DataFrame:
-    """Of the similar pairs inside nodes: (a, null, links of a) and links (a, b, 0) that span each group.
+def compare_blocks(large: DataFrame, known: DataFrame, sets: DataFrame, threshold: float, block: int, depth: int, trees: int) -> DataFrame:
+    """Of the similar pairs inside nodes: (a, null, links of a, links expected to be missing) and (a, b, 0, 0)
+    for links that span each group.
 
     A node's texts are dealt into cells by the logarithm of their size and a hash. Texts of a
     similarity of at least the threshold are in the same or in neighbouring sizes, so only cells of
     these are compared. A pair of several nodes belongs to the smallest of them.
     """
-    sets = wanted_sets(docs, rows, crowd.select("key"), id_col, text_col)
-    sets = sets.join(crowd, "key").select("key", "shingles", "own")
+    sets = sets.join(known, "key").select("key", "shingles", "own", "seen", "open")
     width = max(-math.log(threshold), 1e-6) * (1 + 1e-9)
     sizes = sets.select("key", F.size("shingles").alias("n"), F.floor(F.log(F.size("shingles")) / width).alias("c"))
     placed = stored(large.join(sizes, "key"), "placed")
@@ -309,37 +338,47 @@ def compare_blocks(large: DataFrame, crowd: DataFrame, docs: DataFrame, rows: Da
     task = ["node", "c", "p", "d", "q"]
     left = tasks.join(placed, ["node", "c", "p"]).select(*task, F.lit(0).alias("side"), "key")
     right = tasks.filter("c <> d or p <> q").join(placed.toDF("node", "d", "q", "key"), ["node", "d", "q"]).select(*task, F.lit(1).alias("side"), "key")
-    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("n", pa.int64())])
+    schema = pa.schema([("a", pa.binary()), ("b", pa.binary()), ("n", pa.int64()), ("missed", pa.float64())])
+
+    def lists(column: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
+        """(owner, value) of the elements of an array column."""
+        column = column.combine_chunks()
+        return np.repeat(np.arange(len(column)), np.asarray(column.value_lengths(), np.int64)), np.asarray(column.flatten())
 
     def run(group: pa.Table) -> pa.Table:
         node, twice = group.column("node")[0].as_py(), any(group.column(x)[0] != group.column(y)[0] for x, y in ("cd", "pq"))
         side = np.asarray(group.column("side"))
-        keys, flat, own, size = [], [], [], []
+        keys, flat, own, seen, size, waits = [], [], [], [], [], []
         for k in (0, 1) if twice else (0,):
             part = group.filter(pa.array(side == k))
             keys.append(part.column("key").to_pylist())
-            lists = part.column("shingles").combine_chunks()
-            size.append(np.asarray(lists.value_lengths(), np.int64))
-            flat.append((np.repeat(np.arange(len(part)), size[-1]), np.asarray(lists.flatten())))
-            lists = part.column("own").combine_chunks()
-            owner, nodes = np.repeat(np.arange(len(part)), np.asarray(lists.value_lengths(), np.int64)), np.asarray(lists.flatten())
+            flat.append(lists(part.column("shingles")))
+            size.append(np.bincount(flat[-1][0], minlength=len(part)))
+            owner, nodes = lists(part.column("own"))
             own.append((owner[nodes < node], nodes[nodes < node]))
+            seen.append(lists(part.column("seen")))
+            waits.append(np.asarray(part.column("open")))
         n, m = len(keys[0]), len(keys[-1])
         both = in_common(flat[0], flat[-1], n, m).astype(np.float64)
-        near = both / (size[0][:, None] + size[-1][None, :] - both) >= threshold
-        near &= in_common(own[0], own[-1], n, m) == 0
+        similar = both / (size[0][:, None] + size[-1][None, :] - both)
+        near = (similar >= threshold) & (waits[0][:, None] | waits[-1][None, :])
+        for met in (own, seen):
+            near &= in_common(met[0], met[-1], n, m) == 0
+        if not twice:
+            np.fill_diagonal(near, False)
+        missed = np.where(near, 1 / chance(np.where(near, similar, 1.0), depth, trees) - 1, 0.0)
         if twice:
-            counts = np.concatenate([near.sum(1), near.sum(0)])
+            counts, unmet = np.concatenate([near.sum(1), near.sum(0)]), np.concatenate([missed.sum(1), missed.sum(0)])
             whole = np.zeros((n + m, n + m), bool)
             whole[:n, n:], whole[n:, :n] = near, near.T
         else:
-            np.fill_diagonal(near, False)
-            counts, whole = near.sum(1), near
+            counts, unmet, whole = near.sum(1), missed.sum(1), near
         names = [x for part in keys for x in part]
         some = np.flatnonzero(counts)
         i, j = spanning_links(whole)
         one = [names[k] for k in some] + [min(names[a], names[b]) for a, b in zip(i, j, strict=True)]
         two = [None] * len(some) + [max(names[a], names[b]) for a, b in zip(i, j, strict=True)]
-        return pa.table([pa.array(one, pa.binary()), pa.array(two, pa.binary()), pa.array(np.concatenate([counts[some], np.zeros(len(i), np.int64)]), pa.int64())], schema=schema)
+        zeros = np.zeros(len(i))
+        return pa.table([pa.array(one, pa.binary()), pa.array(two, pa.binary()), pa.array(np.concatenate([counts[some], zeros.astype(np.int64)]), pa.int64()), pa.array(np.concatenate([unmet[some], zeros]))], schema=schema)
 
-    return left.unionByName(right).join(sets, "key").groupBy(*task).applyInArrow(run, "a binary, b binary, n long")
+    return left.unionByName(right).join(sets, "key").groupBy(*task).applyInArrow(run, "a binary, b binary, n long, missed double")
