@@ -18,9 +18,11 @@ SLICE_BYTES = 4 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; a temporary one only where none is set (tests)."""
+    """The folder that driver and executors share; where none is set, a temporary one in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="tempora-shared-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -60,6 +62,11 @@ def release() -> None:
         pass
 
 
+def with_batches_of(spark: SparkSession, rows: int) -> None:
+    """Rows of the Arrow batches of the plans made next."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
 def map_batches(df: DataFrame, columns: list[str], fn: Callable[[list[list]], Iterable[list[list]]], schema: str) -> DataFrame:
     """Run `fn` on each Arrow batch of `columns` (as Python lists) inside the tasks; no shuffle.
 
@@ -78,5 +85,5 @@ def map_batches(df: DataFrame, columns: list[str], fn: Callable[[list[list]], It
         batch = out = None  # nothing of the last batch is held while memory is given back
         release()
 
-    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    with_batches_of(df.sparkSession, BATCH_ROWS)
     return df.select(*columns).mapInArrow(run, schema)
