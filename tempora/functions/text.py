@@ -89,3 +89,105 @@ def table_cell(text: Column) -> Column:
 def frame_number(seconds: Column, rate: int = 60) -> Column:
     """The nearest frame or sample; halves go to the even one."""
     return F.bround(seconds * rate).cast("long")
+
+
+def decibels(text: Column, key: str) -> Column:
+    """The number after `key:` and before ` dB`; -999 for minus infinity, null if there is none."""
+    found = F.regexp_extract(text, key + r":\s*(-?[\w.]+) dB", 1)
+    return F.when(F.startswith(found, F.lit("-inf")), F.lit(-999.0)).otherwise(found.try_cast("double"))
+
+
+def last_loudness(text: Column) -> Column:
+    """The last integrated loudness of a log, in LUFS."""
+    found = F.regexp_extract_all(text, F.lit(r"I:\s*(-?\d+(?:\.\d+)?)\s*LUFS"), 1)
+    return F.get(found, F.size(found) - 1).try_cast("double")
+
+
+def last_block(text: Column, key: str) -> Column:
+    """The last flat JSON object of a text that names `key`; null if none does."""
+    blocks = F.filter(F.regexp_extract_all(text, F.lit(r"(\{[^{}]*\})"), 1), lambda b: F.contains(b, F.lit(key)))
+    return F.get(blocks, F.size(blocks) - 1)
+
+
+def channel_name(text: Column) -> Column:
+    """A channel's name: without the leading @, lower-case; null if it is not 3 to 25 of letters, digits and underscores."""
+    name = F.lower(F.regexp_replace(F.trim(text), "^@", ""))
+    return F.when(name.rlike("^[a-z0-9_]{3,25}$"), name)
+
+
+def clip_name(name: Column) -> Column:
+    """The name of a tightened clip."""
+    return F.regexp_replace(name, "^exp_", "tt_")
+
+
+def whole_seconds(timecode: Column) -> Column:
+    """A timecode without its fraction; null and empty ones are unknown."""
+    return F.when(F.coalesce(timecode, F.lit("")) == "", F.lit("unknown")).otherwise(F.split_part(timecode, F.lit("."), F.lit(1)))
+
+
+def live_flag(json: Column, path: str) -> Column:
+    """Three-valued: whether the JSON path holds a value that isn't null; null if the text is no JSON object."""
+    return F.when(json.rlike(r"^\s*\{.*\}\s*$"), F.get_json_object(json, path).isNotNull())
+
+
+def clamp(x: Column, low: float = 0.0, high: float = 1.0) -> Column:
+    return F.greatest(F.lit(low), F.least(F.lit(high), x))
+
+
+def progress(t: Column, a: float, b: float) -> Column:
+    """0 before a, 1 after b, linear between."""
+    return clamp((t - a) / (b - a))
+
+
+def ease_out(x: Column) -> Column:
+    return 1 - F.pow(1 - x, F.lit(3))
+
+
+def ease_in_out(x: Column) -> Column:
+    return 0.5 - 0.5 * F.cos(F.pi() * x)
+
+
+def typed(t: Column, start: float, rate: float) -> Column:
+    """Characters typed by time t."""
+    return F.floor(F.greatest(F.lit(0.0), t - start) * rate)
+
+
+def menu_step(t: Column, start: float, step: float, last: int = 3) -> Column:
+    """0 before `start`, then one more each `step`, up to `last`."""
+    return F.when(t < start, F.lit(0)).otherwise(F.least(F.lit(last), 1 + F.floor((t - start) / step)))
+
+
+def even_height(w: Column, h: Column, width: int) -> Column:
+    """The even height of a picture of w by h that is shown `width` wide."""
+    return (2 * F.bround(h * width / (2.0 * w))).cast("long")
+
+
+def title_cut(text: Column, most: int) -> Column:
+    """A title of over `most` characters in two lines, at the blank nearest the middle (the earlier of two)."""
+    blanks = F.filter(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: F.substring(text, i, F.lit(1)) == " ")
+    near = F.array_min(F.transform(blanks, lambda i: F.struct(F.abs(i - 1 - F.length(text) / 2.0).alias("d"), i.alias("i"))))["i"]
+    two = F.array(F.substring(text, F.lit(1), near - 1), F.substring(text, near + 1, F.length(text)))
+    return F.when((F.length(text) <= most) | near.isNull(), F.array(text)).otherwise(two)
+
+
+def wrapped(words: Column, width: int) -> Column:
+    """Lines of words that fit `width` characters with blanks; a longer word is a line of its own."""
+    return F.aggregate(
+        words,
+        F.expr("cast(array() as array<string>)"),
+        lambda acc, w: F.when((F.size(acc) == 0) | (F.length(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(""))) + 1 + F.length(w) > width), F.concat(acc, F.array(w))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.concat(F.try_element_at(acc, F.lit(-1)), F.lit(" "), w)))),
+    )
+
+
+#: The named colours of rich lines.
+COLOURS = ["WHITE", "YELLOW", "ORANGE", "RED", "BLACK"]
+
+
+def rich_line(line: Column) -> Column:
+    """array<struct<text, colour>>: parts between bars; `@NAME` or `@#RRGGBB` colours one, others are white; empty ones go."""
+    def part(x: Column) -> Column:
+        name = F.trim(F.regexp_extract(x, "@(.*)$", 1))
+        colour = F.when(F.upper(name).isin(COLOURS), F.upper(name)).when(name.rlike("^#.{6}$"), name).otherwise("WHITE")
+        return F.struct(F.split_part(x, F.lit("@"), F.lit(1)).alias("text"), colour.alias("colour"))
+
+    return F.filter(F.transform(F.split(line, r"\|"), part), lambda p: p["text"] != "")

@@ -6,12 +6,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def union(intervals: DataFrame, by: str = "src", gap: int = 0, label: str | None = None) -> DataFrame:
+def union(intervals: DataFrame, by: str = "src", gap: int = 0, label: str | None = None, more: list[Column] | None = None) -> DataFrame:
     """Disjoint intervals that cover the same points; those at most `gap` apart are joined. by, a, b, n.
 
-    With `label`, also `labels`: the distinct labels of the joined intervals in order, linked by a plus sign.
+    With `label`, also `labels`: the distinct labels of the joined intervals in alphabetical
+    order, linked by a plus sign; `more` are other aggregates of the joined intervals.
     """
-    more = [F.array_join(F.array_sort(F.collect_set(label)), "+").alias("labels")] if label else []
+    more = (more or []) + ([F.array_join(F.array_sort(F.collect_set(label)), "+").alias("labels")] if label else [])
     w = Window.partitionBy(by).orderBy("a", "b").rowsBetween(Window.unboundedPreceding, -1)
     reach = F.max("b").over(w)
     marked = intervals.filter("b > a").withColumn("_new", F.coalesce(F.col("a") > reach + gap, F.lit(True)).cast("long"))

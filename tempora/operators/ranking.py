@@ -65,3 +65,37 @@ def dedupe_in_time(words: DataFrame, word: str, within_us: int = 250_000) -> Dat
         lambda acc, x: F.when((F.size(acc) == 0) | (x["start_us"] - F.try_element_at(acc, F.lit(-1))["start_us"] > within_us), F.concat(acc, F.array(x))).otherwise(acc),
     )
     return runs.groupBy("src", word, "_run").agg(kept.alias("_k")).select("src", word, F.explode("_k").alias("x")).select("src", word, "x.*")
+
+
+#: The score presets, as weights of features.
+PRESETS = {
+    "A_raw": {"raw_db": 1.0},
+    "B_voice": {"voice_db": 1.0},
+    "C_voice_arousal": {"voice_db": 1.0, "arousal": 1.0},
+    "D_laugh_scream": {"voice_db": 1.0, "laugh": 1.0, "scream": 1.0},
+    "E_all": {"voice_db": 1.0, "arousal": 1.0, "laugh": 1.0, "scream": 1.0, "emo_positive": 0.5, "emo_angry": 0.5, "markers": 0.5},
+    "F_all_novalence": {"voice_db": 1.0, "arousal": 1.0, "laugh": 1.0, "scream": 1.0, "markers": 0.5},
+    "G_voice_arousal_laugh_scream_pos": {"voice_db": 1.0, "arousal": 1.0, "scream": 1.0, "laugh": 1.0, "markers": 0.5, "emo_positive": 0.5},
+}
+
+
+def preset_rows(presets: dict[str, dict[str, float]] = PRESETS) -> list[tuple[str, str, float]]:
+    """(cfg, feature, weight) rows of a configuration table."""
+    return [(cfg, feature, weight) for cfg, own in presets.items() for feature, weight in own.items()]
+
+
+def contributions(scored: DataFrame, config: DataFrame, top: int = 5) -> DataFrame:
+    """cfg, src, t, score, contrib: the score and its `top` greatest parts as array<struct<k, v>>, greatest first."""
+    part = scored.join(F.broadcast(config), "feature").select("cfg", "src", "t", "feature", (F.col("weight") * F.col("z")).alias("v"))
+    order = F.array_sort(F.collect_list(F.struct((-F.col("v")).alias("m"), F.col("feature").alias("f"))))
+    pairs = F.transform(F.slice(order, 1, top), lambda x: F.struct(x["f"].alias("k"), F.round(-x["m"], 4).alias("v")))
+    return part.groupBy("cfg", "src", "t").agg(F.round(F.sum("v"), 6).alias("score"), pairs.alias("contrib"))
+
+
+def with_text(points: DataFrame, words: DataFrame, row: list[str], reach_us: int) -> DataFrame:
+    """Adds `text`: the words (src, o, w, start_us) that start at most `reach_us` from the point (src, row, t), in order."""
+    left = points.select("src", *row, (F.col("t") - reach_us).alias("la"), (F.col("t") + reach_us).alias("lb"))
+    right = words.select("src", F.struct("start_us", "o", "w").alias("x"), F.col("start_us").alias("ra"), F.col("start_us").alias("rb"))
+    said = F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["w"]), " ").alias("text")
+    found = intervals.range_join(left, right, "src", 2 * reach_us + 1, F.lit(True)).groupBy("src", *row).agg(said)
+    return points.join(found, ["src", *row], "left")

@@ -36,10 +36,11 @@ def merge_short(pieces: DataFrame, least_us: int = 250_000, by: str = "src") ->
     return pieces.groupBy(by).agg(kept.alias("_p")).select(by, F.explode("_p").alias("_x")).select(by, "_x.a", "_x.b")
 
 
-def caption_ends(groups: DataFrame, tail_us: int = 150_000, by: str = "src") -> DataFrame:
-    """Adds `shown_to`: `tail_us` after the last word, not past the next group's start, never before the last word's end."""
+def caption_ends(groups: DataFrame, tail_us: int = 150_000, by: str = "src", limit: str | None = None) -> DataFrame:
+    """Adds `shown_to`: `tail_us` after the last word, not past the next group's start nor the column `limit`
+    (the segment's end), never before the last word's end."""
     nxt = F.lead("a").over(Window.partitionBy(by).orderBy("a", "b"))
-    return groups.withColumn("shown_to", F.greatest(F.col("b"), F.least(F.col("b") + tail_us, F.coalesce(nxt, F.col("b") + tail_us))))
+    return groups.withColumn("shown_to", F.greatest(F.col("b"), F.least(F.col("b") + tail_us, F.coalesce(nxt, F.col("b") + tail_us), *([F.col(limit)] if limit else []))))
 
 
 def rails(words: DataFrame, fillers: list[str], first_fillers: list[str], gap_us: int = 300_000, count: int = 5, longest_us: int = 2_200_000, lead_us: int = 80_000, tail_us: int = 500_000, by: str = "src") -> DataFrame:
@@ -71,10 +72,12 @@ def rails(words: DataFrame, fillers: list[str], first_fillers: list[str], gap_us
     return left.select(by, "a", "b", "n", "text", F.greatest(F.lit(0).cast("long"), F.col("a") - lead_us).alias("shown_from"), out.alias("shown_to"))
 
 
-def with_offsets(keeps: DataFrame, by: str = "src") -> DataFrame:
-    """Adds `off`: the length of the keeps before this one."""
+def with_offsets(keeps: DataFrame, by: str = "src", speed: str | None = None) -> DataFrame:
+    """Adds `off`: the length of the keeps before this one, as they are shown (divided by the column `speed`)."""
     w = Window.partitionBy(by).orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
-    return keeps.withColumn("off", F.coalesce(F.sum(F.col("b") - F.col("a")).over(w), F.lit(0)))
+    length = F.col("b") - F.col("a")
+    shown = F.bround(length / F.col(speed)).cast("long") if speed else length
+    return keeps.withColumn("off", F.coalesce(F.sum(shown).over(w), F.lit(0)))
 
 
 def remap(points: DataFrame, keeps: DataFrame, row: list[str], bucket: int = 10_000_000, by: str = "src") -> DataFrame:
@@ -95,8 +98,9 @@ def nearest(points: DataFrame, keeps: DataFrame, row: list[str], by: str = "src"
     keep = F.struct("id", "a", "b")
     kind = "struct<id:bigint,a:bigint,b:bigint>"
     both = points.select(by, *row, "t", F.lit(None).cast(kind).alias("k"), F.lit(1).alias("_side")).unionByName(keeps.select(by, *(F.lit(None).cast(points.schema[c].dataType).alias(c) for c in row), F.col("a").alias("t"), keep.cast(kind).alias("k"), F.lit(0).alias("_side")))
-    w = Window.partitionBy(by).orderBy("t", "_side")
-    p, q = F.last("k", True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.first("k", True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    w, back = Window.partitionBy(by).orderBy("t", "_side"), Window.partitionBy(by).orderBy(F.desc("t"), F.desc("_side"))
+    before = lambda w, end: F.last("k", True).over(w.rowsBetween(Window.unboundedPreceding, end))
+    p, q = before(w, 0), before(back, -1)  # a growing frame in either order is read once
     near = both.withColumns({"p": p, "q": q}).filter("_side = 1")
     dp = F.when(F.col("t") < F.col("p.b"), F.lit(0).cast("long")).otherwise(F.col("t") - F.col("p.b") + 1000)
     dq = F.col("q.a") - F.col("t")
@@ -121,3 +125,54 @@ def tighten_report(before: DataFrame, after: DataFrame, by: str = "src") -> Data
     both = before.select(by, (F.col("b") - F.col("a")).alias("x"), F.lit(0).cast("long").alias("y"), F.lit(0).alias("p")).unionByName(after.select(by, F.lit(0).cast("long").alias("x"), (F.col("b") - F.col("a")).alias("y"), F.lit(1).alias("p")))
     total = both.rollup(by).agg(F.sum("x").alias("before_us"), F.sum("y").alias("after_us"), F.sum("p").alias("pieces"))
     return total.withColumn("cut_pct", F.when(F.col("before_us") != 0, F.round(100 * (1 - F.col("after_us") / F.col("before_us")), 4)).otherwise(0.0))
+
+
+def to_output(points: DataFrame, keeps: DataFrame, row: list[str], by: str = "src", bucket: int = 10_000_000) -> DataFrame:
+    """by, row, id, t, local_us, out_us of points (by, row, t) in each keep [a, b) that holds them, in its three clocks."""
+    left = points.select(by, *row, "t", F.col("t").alias("la"), F.col("t").alias("lb"))
+    right = with_offsets(keeps, by, "speed").select(by, "id", "off", "speed", F.col("a").alias("ra"), F.col("b").alias("rb"))
+    local = F.bround((F.col("t") - F.col("ra")) / F.col("speed")).cast("long")
+    return intervals.range_join(left, right, by, bucket, F.col("la") < F.col("rb")).select(by, *row, "id", "t", local.alias("local_us"), (F.col("off") + local).alias("out_us"))
+
+
+def near_times(words: DataFrame, times: DataFrame, row: list[str], flag: str, within_us: int = 50_000, by: str = "src") -> DataFrame:
+    """Adds the boolean `flag`: whether one of `times` (by, t) is at most `within_us` from the word's start."""
+    left = words.select(by, *row, (F.col("start_us") - within_us).alias("la"), (F.col("start_us") + within_us).alias("lb"))
+    right = times.select(by, F.col("t").alias("ra"), F.col("t").alias("rb"))
+    hit = intervals.range_join(left, right, by, 10_000_000, F.lit(True)).select(by, *row).distinct().withColumn(flag, F.lit(True))
+    return words.join(hit, [by, *row], "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+
+
+def hero_windows(heroes: DataFrame, keeps: DataFrame, by: str = "src") -> DataFrame:
+    """by, id, a, b: windows (by, id, from_us, to_us) of source time in output time, cut to their segment; empty ones go."""
+    seg = with_offsets(keeps, by, "speed").withColumn("dur", F.bround((F.col("b") - F.col("a")) / F.col("speed")).cast("long"))
+    at = lambda c: F.least(F.greatest(F.col("off") + F.bround((F.col(c) - F.col("a")) / F.col("speed")).cast("long"), F.col("off")), F.col("off") + F.col("dur"))
+    return heroes.join(seg, [by, "id"]).select(by, "id", at("from_us").alias("_a"), at("to_us").alias("b")).withColumnRenamed("_a", "a").filter("b > a")
+
+
+def violations(edits: DataFrame, width: int = 1920, height: int = 1080) -> DataFrame:
+    """src, id, rule: what is wrong with segments (a, b, speed, broll, focus, crop as x, y, w, h; null: none), one row a fault."""
+    crop = F.col("crop")
+    fault = lambda bad, name: F.when(F.coalesce(bad, F.lit(False)), F.lit(name))
+    faults = [
+        fault(F.col("b") <= F.col("a"), "empty segment"),
+        fault(~F.col("speed").between(1, 2), "speed"),
+        fault(F.col("broll").isNotNull() & (F.abs(F.col("speed") - 1) > 1e-9), "b-roll at another speed"),
+        fault(~F.col("focus").isin("cam", "game"), "focus"),
+        fault((crop["w"] <= 0) | (crop["h"] <= 0), "empty crop"),
+        fault((crop["x"] < 0) | (crop["y"] < 0) | (crop["x"] + crop["w"] > width) | (crop["y"] + crop["h"] > height), "crop outside"),
+    ]
+    return edits.select("src", "id", F.explode(F.array_compact(F.array(*faults))).alias("rule"))
+
+
+def loud_islands(words: DataFrame, seconds: DataFrame, keeps: DataFrame, pad_us: int = 120_000, gap_us: int = 450_000, bucket: int = 10_000_000) -> DataFrame:
+    """src, id, a, b, n: in each segment the words wholly in it, padded and cut to it, and the loud seconds
+    (src, t) that begin in it or less than a second before; pieces at most `gap_us` apart are one."""
+    seg = keeps.select("src", "id", F.col("a").alias("ra"), F.col("b").alias("rb"))
+    w = words.select("src", F.col("start_us").alias("la"), F.col("end_us").alias("lb"))
+    spoken = intervals.range_join(w, seg, "src", bucket, (F.col("la") >= F.col("ra")) & (F.col("lb") <= F.col("rb")))
+    loud = seconds.select("src", (F.col("t") * 1_000_000).alias("la"), (F.col("t") * 1_000_000 + 1_000_000).alias("lb"))
+    heard = intervals.range_join(loud, seg, "src", bucket, (F.col("la") > F.col("ra") - 1_000_000) & (F.col("la") < F.col("rb")))
+    cut = lambda df, pad: df.select("src", "id", F.greatest("ra", F.col("la") - pad).alias("a"), F.least("rb", F.col("lb") + pad).alias("b"))
+    both = cut(spoken, pad_us).unionByName(cut(heard, 0)).withColumn("key", F.struct("src", "id"))
+    return intervals.union(both, "key", gap_us).select("key.src", "key.id", "a", "b", "n")

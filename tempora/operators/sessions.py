@@ -26,8 +26,9 @@ def phrases(words: DataFrame, gap_us: int = 800_000, longest_us: int = 15_000_00
     return one.select(by, F.col("s.a").alias("a"), F.array_max(F.transform(own, lambda x: x["end_us"])).alias("b"), F.size(own).cast("long").alias("n"), F.array_join(F.transform(own, lambda x: x["w"]), " ").alias("text"))
 
 
-def caption_groups(words: DataFrame, count: int = 3, chars: int = 18, gap_us: int = 300_000, by: str = "src") -> DataFrame:
-    """Adds `grp` within an island of close words: a new one at `count` words or over `chars` characters with blanks."""
+def caption_words(words: DataFrame, count: int = 3, chars: int = 18, gap_us: int = 300_000, by: str = "src") -> DataFrame:
+    """by, island, grp, start_us, o, end_us, w: the group of each word within its island of close words; a new
+    one begins at `count` words or over `chars` characters with blanks."""
     one = gap_islands(words, gap_us, by).groupBy(by, "island").agg(F.array_sort(F.collect_list(F.struct("start_us", "o", "end_us", "w"))).alias("ws"))
     zero = F.expr("named_struct('g', 0L, 'n', 0L, 'c', 0L, 'out', cast(array() as array<bigint>))")
 
@@ -38,4 +39,19 @@ def caption_groups(words: DataFrame, count: int = 3, chars: int = 18, gap_us: in
         return F.struct(g.alias("g"), F.when(new, F.lit(1).cast("long")).otherwise(s["n"] + 1).alias("n"), F.when(new, size).otherwise(s["c"] + 1 + size).alias("c"), F.concat(s["out"], F.array(g)).alias("out"))
 
     folded = one.withColumn("gs", F.aggregate("ws", zero, step)["out"]).select(by, "island", F.explode(F.arrays_zip("ws", "gs")).alias("z"))
-    return folded.groupBy(by, "island", F.col("z.gs").alias("grp")).agg(F.min("z.ws.start_us").alias("a"), F.max("z.ws.end_us").alias("b"), F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list("z.ws")), lambda x: x["w"]), " ").alias("text"))
+    return folded.select(by, "island", F.col("z.gs").alias("grp"), "z.ws.*")
+
+
+def caption_groups(words: DataFrame, count: int = 3, chars: int = 18, gap_us: int = 300_000, by: str = "src") -> DataFrame:
+    """by, island, grp, a, b, n, text of the groups of `caption_words`."""
+    row = F.struct("start_us", "o", "end_us", "w")
+    return caption_words(words, count, chars, gap_us, by).groupBy(by, "island", "grp").agg(F.min("start_us").alias("a"), F.max("end_us").alias("b"), F.count("*").alias("n"), F.array_join(F.transform(F.array_sort(F.collect_list(row)), lambda x: x["w"]), " ").alias("text"))
+
+
+def subtitle_events(words: DataFrame, ends: DataFrame, least_us: int = 50_000, by: str = "src") -> DataFrame:
+    """Words (of `caption_words`) with `event_end`: the next word's start in the group, else the group's
+    `shown_to` of `ends` (by, island, grp); at least `least_us` after the start."""
+    nxt = F.lead("start_us").over(Window.partitionBy(by, "island", "grp").orderBy("start_us", "o"))
+    both = words.withColumn("_n", nxt).join(ends.select(by, "island", "grp", "shown_to"), [by, "island", "grp"])
+    end = F.coalesce("_n", "shown_to")
+    return both.withColumn("event_end", F.when(end <= F.col("start_us"), F.col("start_us") + least_us).otherwise(end)).drop("_n", "shown_to")
