@@ -47,6 +47,9 @@ TYPES = {
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d)",
     "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w])|(?<![\w.])\+\d{8,14}(?![\w])",
 }
+#: What every match of `TYPES` contains: a digit, an @, the start of a key, or two groups of an address. Texts
+#: without any of it can hold no entity but names.
+NEEDED = re.compile(r"[\d@]|sk-|gh[pousr]_|AKIA|[A-Fa-f]:[A-Fa-f]")
 #: Titles that announce a name, with the gender and script that they tell.
 TITLES = {"m": "Mr|Mister|Herr|Monsieur|Señor|Sr|Signor", "f": "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Signora", "n": "Dr|Prof|Professor|Doktor", "cm": "господин|г-н", "cf": "госпожа|г-жа"}
 #: Given names by gender and script.
@@ -219,7 +222,7 @@ def names_in(text: str) -> list[tuple[int, int, str, str, str]]:
 
 def replace(text: str, key: bytes, name_key: bytes, syllables: int) -> tuple[str, list[tuple[str, str, str]]]:
     """(text with surrogates, (type, entity, surrogate) in order)."""
-    found = [(m.start(), m.end(), m.lastgroup, m[0], "") for m in ENTITY.finditer(text)]
+    found = [(m.start(), m.end(), m.lastgroup, m[0], "") for m in ENTITY.finditer(text)] if NEEDED.search(text) else []
     taken = [(a, b) for a, b, *_ in found]
     found += [(a, b, "name " + g, v, whole) for a, b, g, whole, v in names_in(text) if not any(a < d and c < b for c, d in taken)]
     out, at, made = [], 0, []

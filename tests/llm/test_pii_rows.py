@@ -52,6 +52,17 @@ def test_addresses_of_both_versions():
     assert [k for k, _, _ in made] == ["ipv6", "ipv6", "ip"] and "12:30:45" in out and "std::vector and a::b" in out
 
 
+def test_no_entity_is_without_what_entities_need():
+    rng = random.Random(7)
+    parts = [*"ab AF09-_.:@+/=()", "sk-", "ghp_", "AKIA", "dead:", "::", "٣", "é@ü.de", "abcdefghijklmnopqrst", "ABCDEFGHIJKLMNOP", "GB12", " 1234", "fe80:"]
+    found = 0
+    for _ in range(20_000):
+        for m in pii.ENTITY.finditer("".join(rng.choice(parts) for _ in range(rng.randrange(2, 14)))):
+            assert pii.NEEDED.search(m[0])
+            found += 1
+    assert found > 500
+
+
 def test_whole_table(spark):
     texts = [NAMES, None, "", "plain text", "mail a.b@c.example.com now", "mail a.b@c.example.com now", "token = " + "aB3" * 60_000, "call +1 (212) 555-0100"]
     rows = [(k if k != 3 else None, t, -1, "keep", 7, "c") for k, t in enumerate(texts)] + [(0, NAMES, -1, "keep", 7, "c")]
