@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tempora.llm.common import SLICE_BYTES, release, stored, with_batches_of
+from tempora.llm.common import release, stored, with_batches_of
 
 WINDOW = 2048
 END = 1
@@ -37,9 +37,9 @@ END = 1
 SHARD_TOKENS, SHARDS_OF_TASK = 1_000_000, 2
 K1, B = 1.2, 0.75
 #: Distinct words that a task remembers; those of over `LONG` characters it doesn't.
-MEMORY, LONG = 800_000, 64
-#: Rows of an Arrow batch here, whose texts are not made Python objects.
-TEXT_ROWS = 2000
+MEMORY, LONG = 400_000, 64
+#: Rows of an Arrow batch here, whose texts are not made Python objects, and bytes that are cut into words at once.
+TEXT_ROWS, CUT_BYTES = 1000, 1 << 20
 #: Characters that are stable under NFC and lower-case one by one; the tokenizer itself reads chunks with others.
 PLAIN = regex.compile(r"[!-~\u00a1-\u012f\u0131-\u024f\u0391-\u03a1\u03a4-\u03ff\u0400-\u0481\u048a-\u052f\u2010-\u2027\u2030-\u205e\u20ac]")
 LETTER, NUMBER, OTHER, BLANK, RAW = range(1, 6)
@@ -192,6 +192,7 @@ def words_of(description: str) -> Words:
     if key not in _LOADED:
         _LOADED.clear()
         _LOADED[key] = Words(description)
+        release()
     return _LOADED[key]
 
 
@@ -206,7 +207,7 @@ def tokens(docs: DataFrame, tokenizer_json: str, id_col: str, text_col: str) ->
         for batch in batches:
             texts = batch.column(1).fill_null("")
             total = np.cumsum(np.asarray(pc.binary_length(texts)).astype(np.int64) + 1)
-            for a, b in runs(total, SLICE_BYTES):
+            for a, b in runs(total, CUT_BYTES):
                 ids, size = words.encode(texts.slice(a, b - a))
                 offsets = np.concatenate([[0], np.cumsum(size * 2)]).astype(np.int64)
                 column = pa.LargeBinaryArray.from_buffers(pa.large_binary(), b - a, [None, pa.py_buffer(offsets), pa.py_buffer(ids.astype("<u2"))])
