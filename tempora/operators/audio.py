@@ -78,7 +78,7 @@ def quiet_chunks(levels: DataFrame, step: int = 18, search: int = 6, least: int
 
 #: Credits that speech models put into silence, and phrases that they are fond of there.
 CREDITS = ["субтитры делал", "субтитры сделал", "субтитры создавал", "субтитры подготовил"]
-NAMED_CREDIT = r"(?i:редактор\s+субтитров|корректор)\s+[A-ZА-ЯЁ]\.\s*[A-ZА-ЯЁ]\w*"
+NAMED_CREDIT = r"(?iu:редактор\s+субтитров|корректор)\s+[A-ZА-ЯЁ]\.\s*[A-ZА-ЯЁ][\p{L}\p{N}_]*"
 BARE_CREDITS = ["редактор субтитров", "корректор"]
 FAREWELLS = ["продолжение следует", "спасибо за просмотр", "спасибо за внимание", "подписывайтесь", "ставьте лайки", "до новых встреч", "продолжение в следующей", "subscribe", "thanks for watching"]
 
