@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from pathlib import Path
 
-from tempora.llm import decontaminate, html_extract, kneser_ney, language_id, line_quality, minhash_forest, packing, pii, sharding, url_filter
+from tempora.llm import bpe, decontaminate, html_extract, kneser_ney, language_id, line_quality, minhash_forest, packing, pii, sharding, token_alignment, url_filter, whitening
 from tempora.llm.common import stored, table
 
 
@@ -75,6 +75,27 @@ def op10_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_json())
 
 
+def op11_interval_alignment(spark: SparkSession, sf_dir: str, a_path: str | None = None, b_path: str | None = None) -> DataFrame:
+    """`a_path` and `b_path` are files of the driver; without them, the public tokenizers that the contract names."""
+    if a_path is None or b_path is None:
+        import public_tokenizers
+
+        a_path, b_path = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    found = token_alignment.align(table(spark, sf_dir, "documents"), tokenizer_json(a_path), Path(b_path).read_bytes(), as_text=False)
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256"))
+
+
+def op12_speculative_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    description = tokenizer_json()
+    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), description), description)
+    numbers = F.concat_ws(" ", F.col("ids").cast("array<string>"))
+    return both.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(numbers, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op13_svd_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 #: The pipeline drops documents in which the best language has a smaller share of the words.
 LEAST_SHARE = 0.3
 
@@ -120,7 +141,7 @@ def packed(docs: DataFrame) -> DataFrame:
     return packing.pack(docs, tokenizer_json())
 
 
-QUERIES = {f.__name__: f for f in (op1_html_crf, op2_fm_index, op3_extendible_hashing, op4_kneser_ney, op5_line_crf, op6_url_regression, op7_lsh_forest, op8_language_crf, op9_pii_surrogates, op10_bm25_packing)}
+QUERIES = {f.__name__: f for f in (op1_html_crf, op2_fm_index, op3_extendible_hashing, op4_kneser_ney, op5_line_crf, op6_url_regression, op7_lsh_forest, op8_language_crf, op9_pii_surrogates, op10_bm25_packing, op11_interval_alignment, op12_speculative_bpe, op13_svd_whitening)}
 ORACLES: dict[str, str] = {
     "op2_fm_index": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
