@@ -27,6 +27,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -40,6 +41,11 @@ from tempora.llm.packing import TEXT_ROWS, runs
 CHUNK_TOKENS, SLICE = 500_000, 1 << 20
 #: Links of a group from which its ids are counted before they are paired.
 LONG_GROUP = 4096
+#: How A cuts texts into words, and texts of characters whose kind is old and the same to everyone, in which words are cut here.
+CUT = regex.compile(r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+PLAIN = regex.compile(r"[\t\n\r -~\u00a1-\u012f\u0131-\u024f\u0391-\u03a1\u03a4-\u03ff\u0400-\u0481\u048a-\u052f\u2010-\u2027\u2030-\u205e\u20ac]*+")
+#: Words of A that a task remembers, and the longest of them.
+MEMORY, LONG_WORD = 400_000, 64
 #: Places of a chunk's row that hold one value for each document, and their types.
 PER_DOC = {"n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups": "string", "pairs": "long"}
 
@@ -64,20 +70,49 @@ class Pair:
         if max(len(self.a_bytes), len(self.b_bytes)) > 1 << 16:
             raise ValueError("ids of more than two bytes")
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
+        self.forget()
         #: An id with what follows it: another of its side, the other side, another group.
         self.named = [[f"{i}{c}" for i in range(1 << 16)] for c in ",|;"]
 
-    def tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
+    def forget(self) -> None:
+        self.words: dict[str, int] = {}
+        #: A's ids of all known words, end to end; where each word's begin; how many they are.
+        self.pool, self.begin, self.size = (np.zeros(0, np.int64) for _ in range(3))
+
+    def learn(self, words: list[str]) -> None:
+        """A's ids of each of these words, which it does not cut any further."""
+        found = [e.ids for e in self.a.encode_batch_fast(words, add_special_tokens=False)]
+        size = np.array([len(x) for x in found], np.int64)
+        self.words.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
+        self.begin = np.concatenate([self.begin, len(self.pool) + np.cumsum(size) - size])
+        self.pool = np.concatenate([self.pool, np.array([i for x in found for i in x], np.int64)])
+        self.size = np.concatenate([self.size, size])
+
+    def a_tokens(self, whole: list[str]) -> list[np.ndarray]:
+        """A's ids of each text: word by word where the words are plain to see, else by the tokenizer itself."""
+        if len(self.words) > MEMORY:
+            self.forget()
+        cut = [CUT.findall(t) if PLAIN.fullmatch(t) else None for t in whole]
+        odd = [k for k, words in enumerate(cut) if words is None or max(map(len, words), default=0) > LONG_WORD]
+        ids = dict(zip(odd, (np.array(e.ids, np.int64) for e in self.a.encode_batch_fast([whole[k] for k in odd], add_special_tokens=False)), strict=True))
+        known = self.words
+        self.learn(list(dict.fromkeys(w for k, words in enumerate(cut) if k not in ids for w in words if w not in known)))
+        for k, words in enumerate(cut):
+            if k not in ids:
+                number = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
+                size = self.size[number]
+                ids[k] = self.pool[np.repeat(self.begin[number] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
+        return [ids[k] for k in range(len(whole))]
+
+    def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """A and B ids of each text; none for a text whose bytes are not those of both."""
         whole = [" " + t for t in texts]
-        a = [e.ids for e in self.a.encode_batch_fast(whole, add_special_tokens=False)]
-        b = self.b.encode(texts, num_threads=1)
+        a, b = self.a_tokens(whole), [np.array(x, np.int64) for x in self.b.encode(texts, num_threads=1)]
+        none = np.zeros(0, np.int64)
         for k, text in enumerate(whole):
-            if len(text) > 1:
-                data = text.encode()
-                if b"".join(map(self.a_bytes.__getitem__, a[k])) == data and b"".join(map(self.b_bytes.__getitem__, b[k])) == data:
-                    continue
-            a[k], b[k] = [], []
+            data = text.encode()
+            if len(text) == 1 or any(b"".join(map(names.__getitem__, ids[k].tolist())) != data for names, ids in ((self.a_bytes, a), (self.b_bytes, b))):
+                a[k] = b[k] = none
         return a, b
 
 
@@ -133,7 +168,7 @@ def align_slice(pair: Pair, texts: list[str], as_text: bool = False) -> Slice:
     """Alignment of each text; `groups` as written out, or as SHA-256 of that."""
     a_ids, b_ids = pair.tokens(texts)
     n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (a_ids, b_ids))
-    a, b = (np.fromiter((i for x in ids for i in x), np.int64, int(n.sum())) for ids, n in ((a_ids, n_a), (b_ids, n_b)))
+    a, b = (np.concatenate(ids) if ids else np.zeros(0, np.int64) for ids in (a_ids, b_ids))
     group_a, group_b = groups_of(np.cumsum(pair.a_size[a]), np.cumsum(pair.b_size[b]))
     doc_a, doc_b = np.repeat(np.arange(len(texts)), n_a), np.repeat(np.arange(len(texts)), n_b)
     begins = np.concatenate([[True], group_a[1:] != group_a[:-1]])[: len(group_a)]
