@@ -23,6 +23,7 @@ import json
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +42,11 @@ from tempora.llm.packing import TEXT_ROWS, runs
 CHUNK_TOKENS, SLICE = 500_000, 1 << 20
 #: Links of a group from which its ids are counted before they are paired.
 LONG_GROUP = 4096
-#: How A cuts texts into words, and texts of characters whose kind is old and the same to everyone, in which words are cut here.
-CUT = regex.compile(r"'(?:s|t|re|ve|m|ll|d)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
-PLAIN = regex.compile(r"[\t\n\r -~\u00a1-\u012f\u0131-\u024f\u0391-\u03a1\u03a4-\u03ff\u0400-\u0481\u048a-\u052f\u2010-\u2027\u2030-\u205e\u20ac]*+")
-#: Words of A that a task remembers, and the longest of them.
-MEMORY, LONG_WORD = 400_000, 64
+#: Texts of characters whose kind is old and the same to everyone are cut before blanks, where tokens of both end.
+PIECE = regex.compile(r"\s++\S*+")
+PLAIN = regex.compile(r"[\t\n -~\u00a1-\u012f\u0131-\u024f\u0391-\u03a1\u03a4-\u03ff\u0400-\u0481\u048a-\u052f\u2010-\u2027\u2030-\u205e\u20ac]*+")
+#: Pieces whose alignment a task remembers, and the longest of them.
+MEMORY, LONGEST = 300_000, 64
 #: Places of a chunk's row that hold one value for each document, and their types.
 PER_DOC = {"n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups": "string", "pairs": "long"}
 
@@ -70,50 +71,55 @@ class Pair:
         if max(len(self.a_bytes), len(self.b_bytes)) > 1 << 16:
             raise ValueError("ids of more than two bytes")
         self.a_size, self.b_size = (np.array([len(x) for x in t], np.int64) for t in (self.a_bytes, self.b_bytes))
-        self.forget()
         #: An id with what follows it: another of its side, the other side, another group.
         self.named = [[f"{i}{c}" for i in range(1 << 16)] for c in ",|;"]
+        before = parts["pre_tokenizer"] or {}
+        no_blank_inside = all(not regex.search(r"[^▁]▁|[\t\n ]", self.b.id_to_piece(i)) for i in range(self.b.get_piece_size()))
+        self.by_pieces = before.get("type") == "ByteLevel" and before.get("use_regex") and not parts["normalizer"] and no_blank_inside
+        self.forget()
 
     def forget(self) -> None:
-        self.words: dict[str, int] = {}
-        #: A's ids of all known words, end to end; where each word's begin; how many they are.
-        self.pool, self.begin, self.size = (np.zeros(0, np.int64) for _ in range(3))
-
-    def learn(self, words: list[str]) -> None:
-        """A's ids of each of these words, which it does not cut any further."""
-        found = [e.ids for e in self.a.encode_batch_fast(words, add_special_tokens=False)]
-        size = np.array([len(x) for x in found], np.int64)
-        self.words.update(zip(words, range(len(self.size), len(self.size) + len(words)), strict=True))
-        self.begin = np.concatenate([self.begin, len(self.pool) + np.cumsum(size) - size])
-        self.pool = np.concatenate([self.pool, np.array([i for x in found for i in x], np.int64)])
-        self.size = np.concatenate([self.size, size])
-
-    def a_tokens(self, whole: list[str]) -> list[np.ndarray]:
-        """A's ids of each text: word by word where the words are plain to see, else by the tokenizer itself."""
-        if len(self.words) > MEMORY:
-            self.forget()
-        cut = [CUT.findall(t) if PLAIN.fullmatch(t) else None for t in whole]
-        odd = [k for k, words in enumerate(cut) if words is None or max(map(len, words), default=0) > LONG_WORD]
-        ids = dict(zip(odd, (np.array(e.ids, np.int64) for e in self.a.encode_batch_fast([whole[k] for k in odd], add_special_tokens=False)), strict=True))
-        known = self.words
-        self.learn(list(dict.fromkeys(w for k, words in enumerate(cut) if k not in ids for w in words if w not in known)))
-        for k, words in enumerate(cut):
-            if k not in ids:
-                number = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
-                size = self.size[number]
-                ids[k] = self.pool[np.repeat(self.begin[number] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
-        return [ids[k] for k in range(len(whole))]
-
-    def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """A and B ids of each text; none for a text whose bytes are not those of both."""
-        whole = [" " + t for t in texts]
-        a, b = self.a_tokens(whole), [np.array(x, np.int64) for x in self.b.encode(texts, num_threads=1)]
-        none = np.zeros(0, np.int64)
-        for k, text in enumerate(whole):
-            data = text.encode()
-            if len(text) == 1 or any(b"".join(map(names.__getitem__, ids[k].tolist())) != data for names, ids in ((self.a_bytes, a), (self.b_bytes, b))):
-                a[k] = b[k] = none
-        return a, b
+        self.known: dict[str, int] = {}
+        self.written: list[str] = []
+        #: Of each known piece: tokens of A and B, groups, links, and where its id pairs begin and how many they are.
+        self.facts = np.zeros((6, 0), np.int64)
+        self.codes = self.links = np.zeros(0, np.int64)
+
+    def tokens(self, whole: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """A ids of all texts, which begin with a blank, how many each has, and the same of B; a text whose bytes
+        are not those of both has none."""
+        a = [e.ids for e in self.a.encode_batch_fast(whole, add_special_tokens=False)]
+        # B puts a space in front: in place of one that is there, else to be taken off again
+        b = [x if w[:1] == " " else x[1:] for w, x in zip(whole, self.b.encode([w.removeprefix(" ") for w in whole], num_threads=1), strict=True)]
+        data = [w.encode() for w in whole]
+        size = np.array([len(d) for d in data], np.int64)
+        for _ in range(2):
+            sides = []
+            right = np.ones(len(whole), bool)
+            for ids, sizes, names in ((a, self.a_size, self.a_bytes), (b, self.b_size, self.b_bytes)):
+                flat = list(chain.from_iterable(ids))
+                many = np.fromiter(map(len, ids), np.int64, len(ids))
+                array = np.array(flat, np.int64)
+                found = np.zeros(len(ids), np.int64)
+                np.add.at(found, np.repeat(np.arange(len(ids)), many), sizes[array])
+                sides += [array, many]
+                if (found == size).all() and b"".join(map(names.__getitem__, flat)) == b"".join(data):
+                    continue  # all at once
+                right &= [b"".join(map(names.__getitem__, x)) == d for x, d in zip(ids, data, strict=True)]
+            if right.all():
+                break
+            a, b, data = ([x if r else x[:0] for x, r in zip(side, right.tolist(), strict=True)] for side in (a, b, data))
+            size = np.where(right, size, 0)
+        return tuple(sides)
+
+    def learn(self, pieces: list[str]) -> None:
+        found = align_whole(self, pieces)
+        size = np.bincount(found.doc, minlength=len(pieces))
+        begin = len(self.codes) + np.cumsum(size) - size
+        self.known.update(zip(pieces, range(len(self.written), len(self.written) + len(pieces)), strict=True))
+        self.written += found.groups
+        self.facts = np.concatenate([self.facts, [found.n_a, found.n_b, found.n_groups, found.n_links, begin, size]], axis=1)
+        self.codes, self.links = np.concatenate([self.codes, found.code]), np.concatenate([self.links, found.links])
 
 
 def overlaps(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -164,18 +170,14 @@ def linked(group_a: np.ndarray, a: np.ndarray, group_b: np.ndarray, b: np.ndarra
     return key >> 32, key & 0xFFFFFFFF, np.bincount(which, weight, len(key)).astype(np.int64)
 
 
-def align_slice(pair: Pair, texts: list[str], as_text: bool = False) -> Slice:
-    """Alignment of each text; `groups` as written out, or as SHA-256 of that."""
-    a_ids, b_ids = pair.tokens(texts)
-    n_a, n_b = (np.array([len(x) for x in ids], np.int64) for ids in (a_ids, b_ids))
-    a, b = (np.concatenate(ids) if ids else np.zeros(0, np.int64) for ids in (a_ids, b_ids))
+def align_whole(pair: Pair, whole: list[str]) -> Slice:
+    """Alignment of each text, which begins with a blank."""
+    a, n_a, b, n_b = pair.tokens(whole)
     group_a, group_b = groups_of(np.cumsum(pair.a_size[a]), np.cumsum(pair.b_size[b]))
-    doc_a, doc_b = np.repeat(np.arange(len(texts)), n_a), np.repeat(np.arange(len(texts)), n_b)
     begins = np.concatenate([[True], group_a[1:] != group_a[:-1]])[: len(group_a)]
-    doc = doc_a[begins]
+    doc = np.repeat(np.arange(len(whole)), n_a)[begins]
     size_a, size_b = np.bincount(group_a, minlength=len(doc)), np.bincount(group_b, minlength=len(doc))
-    n_groups = np.bincount(doc, minlength=len(texts))
-    n_links = np.zeros(len(texts), np.int64)
+    n_links = np.zeros(len(whole), np.int64)
     np.add.at(n_links, doc, size_a * size_b)
     # ids in the order in which they are written: by group, A before B
     group, side = np.concatenate([group_a, group_b]), np.repeat([0, 1], [len(a), len(b)])
@@ -183,13 +185,49 @@ def align_slice(pair: Pair, texts: list[str], as_text: bool = False) -> Slice:
     ids, group, side = np.concatenate([a, b])[order], group[order], side[order]
     then = np.full(len(ids), 2)
     then[:-1] = np.where(group[1:] != group[:-1], 2, side[1:] != side[:-1])
-    ends = np.cumsum(n_a + n_b).tolist()
-    ids, then, named, groups, first = ids.tolist(), then.tolist(), pair.named, [], 0
-    for end in ends:
-        text = "".join([named[t][i] for i, t in zip(ids[first:end], then[first:end], strict=True)])[:-1]
-        groups.append(text if as_text or not text else hashlib.sha256(text.encode()).hexdigest())
-        first = end
-    return Slice(n_a, n_b, n_groups, n_links, groups, *linked(group_a, a, group_b, b, doc))
+    names = [pair.named[t][i] for i, t in zip(ids.tolist(), then.tolist(), strict=True)]
+    ends = np.cumsum(n_a + n_b)
+    groups = ["".join(names[x:y])[:-1] for x, y in zip((ends - n_a - n_b).tolist(), ends.tolist(), strict=True)]
+    return Slice(n_a, n_b, np.bincount(doc, minlength=len(whole)), n_links, groups, *linked(group_a, a, group_b, b, doc))
+
+
+def align_slice(pair: Pair, texts: list[str], as_text: bool = False) -> Slice:
+    """Alignment of each text; `groups` as written out, or as SHA-256 of that. Pieces that are known are put together."""
+    if len(pair.known) > MEMORY:
+        pair.forget()
+    whole = [" " + t for t in texts]
+    cut = [PIECE.findall(t) if t != " " and pair.by_pieces and PLAIN.fullmatch(t) else [] for t in whole]
+    cut = [c if max(map(len, c), default=0) <= LONGEST else [] for c in cut]
+    pieces = list(chain.from_iterable(cut))
+    pair.learn([w for w in set(pieces) if w not in pair.known])
+    size = np.array([len(c) for c in cut], np.int64)
+    piece = np.fromiter(map(pair.known.__getitem__, pieces), np.int64, len(pieces))
+    owner = np.repeat(np.arange(len(texts)), size)
+    numbers = np.zeros((4, len(texts)), np.int64)
+    facts = pair.facts[:, piece]
+    odd = np.ones(len(texts), bool)
+    odd[owner] = False
+    odd[owner[facts[0] == 0]] = True  # a piece whose bytes differ
+    odd &= np.array([t != " " for t in whole], bool)
+    held = ~odd[owner]
+    for row in range(4):
+        np.add.at(numbers[row], owner[held], facts[row][held])
+    ends = np.cumsum(size)
+    groups = [";".join(map(pair.written.__getitem__, piece[x:y].tolist())) for x, y in zip(ends - size, ends, strict=True)]
+    begin, many = facts[4][held], facts[5][held]
+    at = np.repeat(begin - (np.cumsum(many) - many), many) + np.arange(int(many.sum()))
+    doc, code, links = np.repeat(owner[held], many), pair.codes[at], pair.links[at]
+    if odd.any():
+        places = np.flatnonzero(odd)
+        rest = align_whole(pair, [whole[k] for k in places])
+        numbers[:, places] = [rest.n_a, rest.n_b, rest.n_groups, rest.n_links]
+        for k, text in zip(places.tolist(), rest.groups, strict=True):
+            groups[k] = text
+        doc, code, links = np.concatenate([doc, places[rest.doc]]), np.concatenate([code, rest.code]), np.concatenate([links, rest.links])
+    key, which = np.unique(doc << 32 | code, return_inverse=True)
+    if not as_text:
+        groups = [hashlib.sha256(g.encode()).hexdigest() if g else g for g in groups]
+    return Slice(*numbers, groups, key >> 32, key & 0xFFFFFFFF, np.bincount(which, links, len(key)).astype(np.int64))
 
 
 _LOADED: dict[int, Pair] = {}
