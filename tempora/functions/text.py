@@ -86,6 +86,14 @@ def table_cell(text: Column) -> Column:
     return F.when(F.coalesce(one, F.lit("")) == "", F.lit("—")).otherwise(one)
 
 
+def html(text: Column) -> Column:
+    """Text inside an HTML element: ampersands and angle brackets escaped; null stays null."""
+    out = text
+    for sign, name in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        out = F.replace(out, F.lit(sign), F.lit(name))
+    return out
+
+
 def frame_number(seconds: Column, rate: int = 60) -> Column:
     """The nearest frame or sample; halves go to the even one."""
     return F.bround(seconds * rate).cast("long")

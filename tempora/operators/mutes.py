@@ -61,9 +61,10 @@ def with_sources(whole: DataFrame, one: DataFrame, two: DataFrame) -> DataFrame:
 
 def in_ranges(whole: DataFrame, ranges: DataFrame) -> DataFrame:
     """src, ra, rb, n: windows that overlap each of the few given ranges (ra, rb), ends included; 0 where none does."""
-    met = whole.join(F.broadcast(ranges), (F.col("a") <= F.col("rb")) & (F.col("b") >= F.col("ra")))
-    counts = met.groupBy("src", "ra", "rb").agg(F.count("*").alias("n"))
-    return whole.select("src").distinct().join(F.broadcast(ranges)).join(counts, ["src", "ra", "rb"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    left = whole.select(F.lit(0).alias("_all"), "src", F.col("a").alias("la"), F.col("b").alias("lb"))
+    counts = intervals.range_join(left, ranges.withColumn("_all", F.lit(0)), "_all", BUCKET, F.lit(True)).groupBy("src", "ra", "rb").agg(F.count("*").alias("n"))
+    # the result has a row for each source and range
+    return whole.select("src").distinct().crossJoin(ranges).join(counts, ["src", "ra", "rb"], "left").withColumn("n", F.coalesce("n", F.lit(0)))
 
 
 def free_starts(words: DataFrame, key: list[str], row: list[str], step_us: int = 1_000) -> DataFrame:

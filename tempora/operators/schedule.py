@@ -5,35 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempora.operators import intervals
+from tempora.operators import intervals, scans
 from tempora.operators.sessions import gap_islands
+from tempora.sources.shared import stored
 
 
 def gap_policy(islands: DataFrame, cut_us: int = 450_000, half_us: int = 125_000, by: str = "src") -> DataFrame:
     """Pieces over disjoint islands: pauses up to `cut_us` stay, of longer ones `half_us` on each side. by, a, b, n."""
-    w = Window.partitionBy(by).orderBy("a")
-    new = F.coalesce(F.col("a") - F.lag("b").over(w) > cut_us, F.lit(False)).cast("long")
-    marked = islands.withColumn("_new", new).withColumn("_g", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    before = scans.running(scans.deal(islands, [by], "a", scans.SLICE_US), [by], ["a"], {"_b": ("last", F.col("b"))})
+    new = F.coalesce(F.col("a") - F.col("_b") > cut_us, F.lit(False)).cast("long")
+    marked = scans.running(before.withColumn("_new", new), [by], ["a"], {"_g": ("sum", F.col("_new"))}, inclusive=True)
     runs = marked.groupBy(by, "_g").agg(F.min("a").alias("a"), F.max("b").alias("b"), F.count("*").alias("n"))
-    last = F.lead("a").over(Window.partitionBy(by).orderBy("_g")).isNull()
-    return runs.select(by, F.when(F.col("_g") > 0, F.col("a") - half_us).otherwise(F.col("a")).alias("a"), F.when(last, F.col("b")).otherwise(F.col("b") + half_us).alias("b"), "n")
+    last = F.col("_g") == F.col("_last")
+    ended = runs.join(runs.groupBy(by).agg(F.max("_g").alias("_last")), by)
+    return ended.select(by, F.when(F.col("_g") > 0, F.col("a") - half_us).otherwise(F.col("a")).alias("a"), F.when(last, F.col("b")).otherwise(F.col("b") + half_us).alias("b"), "n")
 
 
-def merge_short(pieces: DataFrame, least_us: int = 250_000, by: str = "src") -> DataFrame:
-    """Pieces shorter than `least_us` join the piece before them, or the one after if they are first. by, a, b.
+def merge_short(pieces: DataFrame, least_us: int = 250_000, by: str = "src", slice_us: int = scans.SLICE_US) -> DataFrame:
+    """Disjoint pieces shorter than `least_us` join the piece before them, or the one after if they are first. by, a, b.
 
-    One pass from the left reaches the fixpoint: a later short piece extends the last kept one, and
-    while the only kept piece is short the next one absorbs it.
+    What the fixpoint comes to: the first piece takes in all that follow until it is long enough
+    itself; after that, each long piece begins a new one and short ones belong to it.
     """
-    kept = F.aggregate(
-        F.array_sort(F.collect_list(F.struct("a", "b"))),
-        F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)"),
-        lambda acc, x: F.when(F.size(acc) == 0, F.array(x))
-        .when((F.size(acc) == 1) & (acc[0]["b"] - acc[0]["a"] < least_us), F.array(F.struct(F.least(acc[0]["a"], x["a"]).alias("a"), x["b"].alias("b"))))
-        .when(x["b"] - x["a"] < least_us, F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(F.element_at(acc, -1)["a"].alias("a"), F.greatest(F.element_at(acc, -1)["b"], x["b"]).alias("b")))))
-        .otherwise(F.concat(acc, F.array(x))),
-    )
-    return pieces.groupBy(by).agg(kept.alias("_p")).select(by, F.explode("_p").alias("_x")).select(by, "_x.a", "_x.b")
+    pieces = stored(pieces.select(by, "a", "b"), "pieces")
+    start = pieces.groupBy(by).agg(F.min("a").alias("_a0"))
+    enough = pieces.join(start, by).filter(F.col("b") - F.col("_a0") >= least_us).groupBy(by).agg(F.min("b").alias("_b0"))
+    new = F.coalesce((F.col("b") > F.col("_b0")) & (F.col("b") - F.col("a") >= least_us), F.lit(False)).cast("long")
+    marked = pieces.join(enough, by, "left").withColumn("_new", new)
+    placed = scans.running(scans.deal(marked, [by], "a", slice_us), [by], ["a", "b"], {"_g": ("sum", F.col("_new"))}, inclusive=True)
+    return placed.groupBy(by, "_g").agg(F.min("a").alias("a"), F.max("b").alias("b")).drop("_g")
 
 
 def caption_ends(groups: DataFrame, tail_us: int = 150_000, by: str = "src", limit: str | None = None) -> DataFrame:
@@ -74,10 +74,9 @@ def rails(words: DataFrame, fillers: list[str], first_fillers: list[str], gap_us
 
 def with_offsets(keeps: DataFrame, by: str = "src", speed: str | None = None) -> DataFrame:
     """Adds `off`: the length of the keeps before this one, as they are shown (divided by the column `speed`)."""
-    w = Window.partitionBy(by).orderBy("id").rowsBetween(Window.unboundedPreceding, -1)
     length = F.col("b") - F.col("a")
     shown = F.bround(length / F.col(speed)).cast("long") if speed else length
-    return keeps.withColumn("off", F.coalesce(F.sum(shown).over(w), F.lit(0)))
+    return scans.running(scans.deal(keeps, [by], "id", scans.SLICE_ROWS), [by], ["id"], {"off": ("sum", shown)}).select(*keeps.columns, "off")
 
 
 def remap(points: DataFrame, keeps: DataFrame, row: list[str], bucket: int = 10_000_000, by: str = "src") -> DataFrame:

@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tempora.operators import scans
 
-def gap_islands(words: DataFrame, gap_us: int, by: str = "src") -> DataFrame:
+
+def gap_islands(words: DataFrame, gap_us: int, by: str = "src", slice_us: int = scans.SLICE_US) -> DataFrame:
     """Adds `island`: a new one starts where the pause is longer than `gap_us`."""
-    w = Window.partitionBy(by).orderBy("start_us", "o")
-    new = F.coalesce(F.col("start_us") - F.lag("end_us").over(w) > gap_us, F.lit(True)).cast("long")
-    return words.withColumn("_new", new).withColumn("island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    order = ["start_us", "o"]
+    before = scans.running(scans.deal(words, [by], "start_us", slice_us), [by], order, {"_end": ("last", F.col("end_us"))})
+    new = F.coalesce(F.col("start_us") - F.col("_end") > gap_us, F.lit(True)).cast("long")
+    return scans.running(before.withColumn("_new", new), [by], order, {"island": ("sum", F.col("_new"))}, inclusive=True).select(*words.columns, "island")
 
 
 def phrases(words: DataFrame, gap_us: int = 800_000, longest_us: int = 15_000_000, by: str = "src") -> DataFrame:

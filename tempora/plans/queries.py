@@ -45,7 +45,7 @@ def _series(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _scored(spark: SparkSession, d: str) -> DataFrame:
-    return series.rolling_mean(series.robust_z(_series(spark, d), "raw_db"), "z", "score")
+    return series.rolling_mean(series.robust_z(_series(spark, d), "raw_db"), "z", "score", place="t")
 
 
 def _flagged(spark: SparkSession, d: str) -> DataFrame:
@@ -101,11 +101,11 @@ def smooth_z(spark, d):
 
 
 def local_maxima(spark, d):
-    return series.local_maxima(_scored(spark, d), "score").select("src", "t", F.round("score", 4).alias("score"))
+    return series.local_maxima(_scored(spark, d), "score", place="t").select("src", "t", F.round("score", 4).alias("score"))
 
 
 def nms_topn(spark, d):
-    return series.nms_top_n(series.local_maxima(_scored(spark, d), "score"), "score").select("src", "rank", "t", F.round("score", 4).alias("score"))
+    return series.nms_top_n(series.local_maxima(_scored(spark, d), "score", place="t"), "score").select("src", "rank", "t", F.round("score", 4).alias("score"))
 
 
 def sliding_3h(spark, d):

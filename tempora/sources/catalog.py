@@ -8,6 +8,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tempora.functions import text as T
+
 WORDS = "w string, start double, end double, prob double"
 #: Extensions of sources, the best first, and the folders that hold no sources.
 EXTENSIONS = [".mov", ".mp4", ".mkv", ".webm"]
@@ -133,3 +135,24 @@ def words_for(edits: DataFrame, files: DataFrame, sidecars: DataFrame, transcrip
     columns = [c for c in transcripts.columns if c != "src"]
     own = has.filter("stem is not null").select("edit", "stem").join(sidecars, "stem").select("edit", F.lit("sidecar").alias("origin"), *columns)
     return own.unionByName(has.filter("stem is null").select("edit", "src").join(transcripts, "src").select("edit", F.lit("transcript").alias("origin"), *columns))
+
+
+def references(rows: DataFrame) -> DataFrame:
+    """src, folder, num, name, start, end (seconds) of reference intervals (key, num, start, end as clock times, name).
+
+    A key is a source, or a source and a folder of it with a slash between; the folder is then the whole key.
+    """
+    folder = F.when(F.contains("key", F.lit("/")), F.col("key")).otherwise(F.lit(""))
+    return rows.select(F.split_part("key", F.lit("/"), F.lit(1)).alias("src"), folder.alias("folder"), "num", "name", T.parse_clock(F.col("start")).alias("start"), T.parse_clock(F.col("end")).alias("end"))
+
+
+def read_references(spark: SparkSession, path: str) -> DataFrame:
+    """`references` of JSON lines; no file gives no rows."""
+    schema = "key string, num int, start string, end string, name string"
+    try:
+        found = spark.read.schema(schema).json(path)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        found = spark.createDataFrame([], schema)
+    return references(found)

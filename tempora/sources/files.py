@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.operators import intervals
+from tempora.operators import mutes
 
 SEGMENT = "struct<a:double,b:double,speed:double>"
 #: An edit list of a clip, and one of a long video.
@@ -35,14 +35,16 @@ def numbers(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
 
 
 def packets(spark: SparkSession, path: str) -> DataFrame:
-    """stream, pts, dur: lines `stream,pts,dur`; without a time a line is dropped, without a duration it is 0."""
+    """stream, pts, dur, ord: lines `stream,pts,dur`; without a time a line is dropped, without a duration it is 0.
+    `ord` puts them in the order of files, places in the file, and lines."""
     rows = spark.read.schema("stream string, pts string, dur string").csv(path)
-    return rows.select("stream", F.expr("try_cast(pts as double)").alias("pts"), F.coalesce(F.expr("try_cast(dur as double)"), F.lit(0.0)).alias("dur")).filter("pts is not null")
+    order = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("at"), F.monotonically_increasing_id().alias("line"))
+    return rows.select("stream", F.expr("try_cast(pts as double)").alias("pts"), F.coalesce(F.expr("try_cast(dur as double)"), F.lit(0.0)).alias("dur"), order.alias("ord")).filter("pts is not null")
 
 
 def stream_spans(packets: DataFrame) -> DataFrame:
-    """stream, first, last: from the first time to the greatest end."""
-    return packets.groupBy("stream").agg(F.min("pts").alias("first"), F.max(F.col("pts") + F.col("dur")).alias("last"))
+    """stream, first, least, last: the time of the first packet in order, the smallest time, and the greatest end."""
+    return packets.groupBy("stream").agg(F.min_by("pts", "ord").alias("first"), F.min("pts").alias("least"), F.max(F.col("pts") + F.col("dur")).alias("last"))
 
 
 def with_mutes(edits: DataFrame, windows: DataFrame) -> DataFrame:
@@ -53,12 +55,8 @@ def with_mutes(edits: DataFrame, windows: DataFrame) -> DataFrame:
     """
     ends = edits.select("name", F.col("source_duration").alias("_end"))
     cut = windows.join(ends, "name").filter(F.col("_end").isNull() | (F.col("a") < F.col("_end"))).withColumn("b", F.coalesce(F.least("b", "_end"), F.col("b"))).drop("_end")
-    whole = intervals.union(cut.select("name", "a", "b"), by="name").select("name", F.col("a").alias("_a"), F.col("b").alias("_b"))
-    # a window lies in exactly one of the joined ones
-    inside = cut.filter("b > a").join(whole, "name").filter("a >= _a and b <= _b")
-    order = F.array_sort(F.collect_list(F.struct("a", "b", "word")))
-    joined = inside.groupBy("name", "_a", "_b").agg(F.array_join(F.array_distinct(F.transform(order, lambda x: x["word"])), ",").alias("word"), F.when(F.max(F.col("kind") == "word"), F.lit("word")).otherwise(F.min("kind")).alias("kind"))
-    lists = joined.groupBy("name").agg(F.array_sort(F.collect_list(F.struct(F.col("_a").alias("a"), F.col("_b").alias("b"), "word", "kind"))).alias("_m"))
+    joined = mutes.merged(cut, by="name")
+    lists = joined.groupBy("name").agg(F.array_sort(F.collect_list(F.struct("a", "b", "word", "kind"))).alias("_m"))
     empty = F.expr("cast(array() as array<struct<a:double,b:double,word:string,kind:string>>)")
     return edits.join(lists, "name", "left").withColumn("mutes_source_time", F.coalesce("_m", empty)).drop("_m")
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 
@@ -12,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tempora.operators.series import rms_db
+from tempora.sources.shared import shared_dir
 
 #: Checks in a row without the channel that end an automatic recording.
 LIMIT = 3
@@ -61,7 +61,7 @@ def loudness(samples: DataFrame, size: str = "1 hour", late: str = "2 hours") ->
 def run_to_end(stream: DataFrame, mode: str = "append") -> DataFrame:
     """Reads all that the source holds now, and gives the result as a table in the shared folder."""
     spark: SparkSession = stream.sparkSession
-    root = (spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="tempora-shared-")).rstrip("/")
+    root = shared_dir(spark)
     out, mark = f"{root}/stream-{uuid.uuid4().hex}", f"{root}/mark-{uuid.uuid4().hex}"
     if mode == "complete":  # each batch replaces the table
         writer = stream.writeStream.outputMode(mode).foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out))

@@ -15,9 +15,9 @@ def test_stems_after_the_last_section(spark, tmp_path):
 def test_numbers_and_packets_skip_bad_rows(spark, tmp_path):
     (tmp_path / "f.csv").write_text("t,voice_db,more\n1,-20.5,x\n2,oops,y\n3,,z\n")
     assert [tuple(r) for r in files.numbers(spark, str(tmp_path / "f.csv"), ["t", "voice_db"]).collect()] == [(1.0, -20.5)]
-    (tmp_path / "p.csv").write_text("v,1.0,0.5\nv,2.0,N/A\nv,N/A,1\na,0.5,0.1\n")
+    (tmp_path / "p.csv").write_text("v,oops,1\nv,3.0,0.25\nv,1.0,0.5\nv,2.0,N/A\nv,N/A,1\na,0.5,0.1\n")
     spans = files.stream_spans(files.packets(spark, str(tmp_path / "p.csv")))
-    assert sorted(map(tuple, spans.collect())) == [("a", 0.5, 0.6), ("v", 1.0, 2.0)]
+    assert sorted(map(tuple, spans.collect())) == [("a", 0.5, 0.5, 0.6), ("v", 3.0, 1.0, 3.25)]
 
 
 def test_upsert_of_mutes_leaves_the_rest(spark, tmp_path):
@@ -30,3 +30,19 @@ def test_upsert_of_mutes_leaves_the_rest(spark, tmp_path):
     assert (out.source, out.keep_segments_source_time) == ("s", [[0.0, 5.0]])
     files.write_documents(edits, str(tmp_path / "out"))
     assert files.edit_lists(spark, str(tmp_path / "out"), files.LONG).count() == 1
+
+
+def test_features_have_six_places(spark, tmp_path):
+    df = spark.createDataFrame([("s", 1, 0.12345678, None), ("t", 2, -2.0, 1.5)], "src string, t long, x double, y double").coalesce(1)
+    files.write_features(df, str(tmp_path / "f"))
+    text = "".join(p.read_text() for p in (tmp_path / "f").glob("part-*"))
+    assert text.splitlines() == ["src,t,x,y", "s,1,0.123457,", "t,2,-2.0,1.5"]
+    assert files.numbers(spark, str(tmp_path / "f"), ["t", "x"]).count() == 2
+
+
+def test_references_of_a_table(spark, tmp_path):
+    from tempora.sources import catalog
+
+    (tmp_path / "refs.json").write_text('{"key": "a/b", "num": 1, "start": "0:01:05", "end": "00:02:00", "name": "x"}\n{"key": "c", "num": 2, "start": "01:00:00", "end": "01:00:12"}\n')
+    assert sorted(map(tuple, catalog.read_references(spark, str(tmp_path / "refs.json")).collect())) == [("a", "a/b", 1, "x", 65, 120), ("c", "", 2, None, 3600, 3612)]
+    assert catalog.read_references(spark, str(tmp_path / "none.json")).count() == 0
