@@ -5,45 +5,65 @@ from __future__ import annotations
 import difflib
 from collections.abc import Callable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempora.operators import intervals
 
-ALIGNED = "src {src}, id {id}, n long, w string, other string, start_us long, end_us long, op string"
+#: A row of the result, and a stretch of two word lists that is treated alike: words [i, i_end) of one, [j, j_end) of the other.
+ROW = "struct<w:string,other:string,start_us:bigint,end_us:bigint,op:string>"
+STRETCH = "array<struct<op:string,i:int,i_end:int,j:int,j_end:int>>"
+#: Timed words without a counterpart stay if they are no longer than this.
+SHORT = 4
 
 
-def reconcile(timed: list[tuple], spoken: list[tuple], keep: Callable[[str], bool]) -> list[tuple]:
-    """Rows (text, timed text, start, end, op) of two word lists of (norm, w, start, end, lo, hi).
+def stretches(timed: pa.Array, spoken: pa.Array) -> pa.Array:
+    """How each pair of word lists becomes equal: runs that are equal, replaced, deleted or inserted."""
+    found = [difflib.SequenceMatcher(None, t, s, autojunk=False).get_opcodes() for t, s in zip(timed.to_pylist(), spoken.to_pylist(), strict=True)]
+    fields = ("op", "i", "i_end", "j", "j_end")
+    kind = pa.list_(pa.struct([("op", pa.string()), *((f, pa.int32()) for f in fields[1:])]))
+    return pa.array([[dict(zip(fields, one, strict=True)) for one in ops] for ops in found], kind)
 
-    eq and rep of equal size take the times one by one; rep of unequal sizes shares the block's time
-    by letters; ins keeps its own time inside [lo, hi]; del stays if `keep` says so of the word.
-    Without spoken words the timed ones pass as `only`.
-    """
-    if not spoken:
-        return [(t[1], t[1], t[2], t[3], "only") for t in timed]
-    out: list[tuple] = []
-    blocks = difflib.SequenceMatcher(None, [t[0] for t in timed], [s[0] for s in spoken], autojunk=False).get_opcodes()
-    for op, i, i_end, j, j_end in blocks:
-        old, new = timed[i:i_end], spoken[j:j_end]
-        if op == "delete":
-            out += [(t[1], t[1], t[2], t[3], "del") for t in old if 1 <= len(t[0]) <= 4 or keep(t[0])]
-        elif op == "insert":
-            for _, w, start, end, lo, hi in new:
-                a, b = min(max(start, lo), hi), min(max(end, lo), hi)
-                out.append((w, None, a, max(a, b), "ins"))
-        elif len(old) == len(new):
-            out += [(s[1], s[1] if op == "equal" else t[1], t[2], t[3], "eq" if op == "equal" else "rep") for t, s in zip(old, new, strict=True)]
-        else:
-            letters = [len(s[0]) for s in new]
-            letters = letters if sum(letters) else [1] * len(new)
-            begin, length, total, before = old[0][2], old[-1][3] - old[0][2], sum(letters), 0
-            for s, n in zip(new, letters, strict=True):
-                of = old[min(before * len(old) // total, len(old) - 1)]
-                out.append((s[1], of[1], begin + length * before // total, begin + length * (before + n) // total, "rep"))
-                before += n
-    return out
+
+def row(w: Column, other: Column, start: Column, end: Column, op: str) -> Column:
+    return F.struct(w.alias("w"), other.alias("other"), start.cast("long").alias("start_us"), end.cast("long").alias("end_us"), F.lit(op).alias("op")).cast(ROW)
+
+
+def dropped(old: Column, keep: Callable[[Column], Column]) -> Column:
+    """Timed words that no one else heard: short ones and those that `keep` names stay."""
+    stay = F.filter(old, lambda x: F.length(x["norm"]).between(1, SHORT) | keep(x["norm"]))
+    return F.transform(stay, lambda x: row(x["w"], x["w"], x["start_us"], x["end_us"], "del"))
+
+
+def added(new: Column) -> Column:
+    """Spoken words without a counterpart, at their own time as far as it is inside the segment."""
+    inside = lambda x, c: F.least(F.greatest(x[c], x["lo"]), x["hi"])
+    return F.transform(new, lambda x: row(x["w"], F.lit(None).cast("string"), inside(x, "start_us"), F.greatest(inside(x, "start_us"), inside(x, "end_us")), "ins"))
+
+
+def paired(old: Column, new: Column, op: str) -> Column:
+    """As many words on both sides: the spoken text at the timed times, one by one."""
+    other = (lambda x: x["s"]["w"]) if op == "eq" else (lambda x: x["t"]["w"])
+    return F.transform(F.arrays_zip(old.alias("t"), new.alias("s")), lambda x: row(x["s"]["w"], other(x), x["t"]["start_us"], x["t"]["end_us"], op))
+
+
+def shared(old: Column, new: Column) -> Column:
+    """Spoken words share the time of the timed ones by letters (alike, if there are none)."""
+    letters = F.transform(new, lambda x: F.length(x["norm"]).cast("long"))
+    letters = F.when(F.exists(letters, lambda n: n > 0), letters).otherwise(F.transform(new, lambda _: F.lit(1).cast("long")))
+    sum_ = lambda xs: F.aggregate(xs, F.lit(0).cast("long"), lambda a, x: a + x)
+    begin, size = F.get(old, F.lit(0))["start_us"], F.size(old).cast("long")
+    length, total = F.element_at(old, -1)["end_us"] - begin, sum_(letters)
+
+    def one(x, k):
+        before = sum_(F.slice(letters, F.lit(1), k))
+        upto = before + F.get(letters, k)
+        place = F.least(F.floor(before * size / total), size - 1).cast("int")
+        at = lambda n: begin + F.floor(length * n / total)
+        return row(x["w"], F.get(old, place)["w"], at(before), at(upto), "rep")
+
+    return F.transform(new, one)
 
 
 def in_segments(words: DataFrame, segments: DataFrame, whole: bool, bucket: int) -> DataFrame:
@@ -54,22 +74,34 @@ def in_segments(words: DataFrame, segments: DataFrame, whole: bool, bucket: int)
     return intervals.range_join(points, ends, "src", bucket, (F.col("la") < F.col("rb")) if whole else (F.col("la") < F.col("rb")) & (F.col("lb") > F.col("ra"))).withColumnsRenamed({"ra": "lo", "rb": "hi"}).drop("la", "lb")
 
 
-def align(timed: DataFrame, spoken: DataFrame, segments: DataFrame, keep: Callable[[str], bool], bucket: int = 10_000_000) -> DataFrame:
-    """src, id, n, w, other, start_us, end_us, op for each segment.
+def numbered(words: DataFrame, out: str) -> DataFrame:
+    """src, id and the words of each segment in order of time, as an array."""
+    fields = [c for c in ("start_us", "end_us", "o", "norm", "w", "lo", "hi") if c in words.columns]
+    return words.groupBy("src", "id").agg(F.array_sort(F.collect_list(F.struct(*fields))).alias(out))
 
-    Words carry src, o, norm, w, start_us, end_us. One group is one segment of one recording, so a
-    long recording is many groups. Without words a segment has no rows.
-    """
 
-    def run(one: pd.DataFrame, two: pd.DataFrame) -> pd.DataFrame:
-        key = (one if len(one) else two).iloc[0][["src", "id"]]
-        cols = ["norm", "w", "start_us", "end_us", "lo", "hi"]
-        rows = [list(x.sort_values(["start_us", "end_us", "o"])[cols].itertuples(index=False, name=None)) for x in (one, two)]
-        return pd.DataFrame([(key["src"], key["id"], n, *r) for n, r in enumerate(reconcile(*rows, keep))], columns=["src", "id", "n", "w", "other", "start_us", "end_us", "op"])
+def align(timed: DataFrame, spoken: DataFrame, segments: DataFrame, keep: Callable[[Column], Column], bucket: int = 10_000_000) -> DataFrame:
+    """src, id, n, w, other, start_us, end_us, op for each segment.
 
-    kinds = {"src": timed.schema["src"].dataType.simpleString(), "id": segments.schema["id"].dataType.simpleString()}
-    one, two = in_segments(timed, segments, True, bucket), in_segments(spoken, segments, False, bucket)
-    return one.groupBy("src", "id").cogroup(two.groupBy("src", "id")).applyInPandas(run, ALIGNED.format(**kinds))
+    Words carry src, o, norm, w, start_us, end_us; `keep` says of a norm whether its timed word stays
+    without a counterpart. One row is one segment of one recording: only the norms of its words leave
+    the JVM, to be compared, and what becomes of each stretch are expressions. A segment without spoken
+    words keeps the timed ones (`only`), one without words has no rows.
+    """
+    one, two = numbered(in_segments(timed, segments, True, bucket), "t"), numbered(in_segments(spoken, segments, False, bucket), "s")
+    met = one.join(two, ["src", "id"], "full")
+    met = met.withColumns({c: F.coalesce(F.col(c), F.array().cast(met.schema[c].dataType)) for c in ("t", "s")})
+    norms = lambda c: F.transform(F.col(c), lambda x: x["norm"])
+    met = met.withColumn("ops", F.arrow_udf(stretches, STRETCH)(norms("t"), norms("s")))
+
+    def rows(x):
+        old, new = F.slice("t", x["i"] + 1, x["i_end"] - x["i"]), F.slice("s", x["j"] + 1, x["j_end"] - x["j"])
+        same_size = F.size(old) == F.size(new)
+        return F.when(x["op"] == "delete", dropped(old, keep)).when(x["op"] == "insert", added(new)).when(x["op"] == "equal", paired(old, new, "eq")).when(same_size, paired(old, new, "rep")).otherwise(shared(old, new))
+
+    only = F.transform("t", lambda x: row(x["w"], x["w"], x["start_us"], x["end_us"], "only"))
+    made = F.when(F.size("s") == 0, only).otherwise(F.flatten(F.transform("ops", rows)))
+    return met.select("src", "id", F.posexplode(made).alias("n", "x")).select("src", "id", F.col("n").cast("long").alias("n"), "x.*")
 
 
 def primary_if_bad(aligned: DataFrame, bad: Callable[[Column], Column]) -> DataFrame:

@@ -179,7 +179,7 @@ def tighten_report(spark, d):
 def align_words(spark, d):
     """The transcripts of each segment put together; the timed text wins where it alone is bad."""
     with_norm = lambda w: w.withColumn("norm", T.norm_word(F.col("w")))
-    keep = lambda norm: any(x in norm for x in base.BAD) and not any(x in norm for x in base.OK)
+    keep = lambda norm: F.exists(F.array(*map(F.lit, base.BAD)), lambda x: F.contains(norm, x)) & ~F.exists(F.array(*map(F.lit, base.OK)), lambda x: F.contains(norm, x))
     both = align.align(with_norm(views.words(spark, d)), with_norm(_second(spark, d)), base._segments(spark, d), keep)
     return align.primary_if_bad(both, lambda w: T.is_bad(F.coalesce(w, F.lit("")), base.BAD, base.OK))
 

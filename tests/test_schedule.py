@@ -98,21 +98,31 @@ def test_not_touching_is_an_anti_join(spark):
     assert sorted(r.o for r in intervals.not_touching(a, b, "src", ["o"], 4).collect()) == [2, 3]
 
 
-def test_reconcile_every_operation():
-    word = lambda w, a, b: (w, w, a, b, 0, 1000)
+def test_reconcile_every_operation(spark):
+    word = lambda w, a, b: (w, a, b)
     timed = [word("one", 0, 10), word("too", 20, 30), word("um", 40, 50), word("longer", 60, 70)]
     spoken = [word("one", 1, 11), word("two", 21, 31), word("end", 990, 1010)]
-    assert align.reconcile(timed, spoken, lambda w: False) == [("one", "one", 0, 10, "eq"), ("two", "too", 20, 45, "rep"), ("end", "um", 45, 70, "rep")]
-    assert align.reconcile(timed, [], lambda w: False) == [(w, w, a, b, "only") for w, _, a, b, *_ in timed]
-    assert align.reconcile(timed[:1], [word("one", 5, 6), word("new", 990, 1010)], lambda w: False) == [("one", "one", 0, 10, "eq"), ("new", None, 990, 1000, "ins")]
-    assert align.reconcile(timed, [timed[0]], lambda w: w == "longer") == [("one", "one", 0, 10, "eq"), ("too", "too", 20, 30, "del"), ("um", "um", 40, 50, "del"), ("longer", "longer", 60, 70, "del")]
-    assert align.reconcile([word("x", 0, 90)], [word("a", 0, 0), word("bb", 0, 0)], lambda w: False) == [("a", "x", 0, 30, "rep"), ("bb", "x", 30, 90, "rep")]
+    cases = [
+        (timed, spoken, [("one", "one", 0, 10, "eq"), ("two", "too", 20, 45, "rep"), ("end", "um", 45, 70, "rep")]),
+        (timed, [], [(w, w, a, b, "only") for w, a, b in timed]),
+        (timed[:1], [word("one", 5, 6), word("new", 990, 1010)], [("one", "one", 0, 10, "eq"), ("new", None, 990, 1000, "ins")]),
+        (timed, [timed[0]], [("one", "one", 0, 10, "eq"), ("too", "too", 20, 30, "del"), ("um", "um", 40, 50, "del"), ("longer", "longer", 60, 70, "del")]),
+        (timed[:1] + [word("farther", 30, 40)], [timed[0]], [("one", "one", 0, 10, "eq")]),
+        ([word("x", 0, 90)], [word("a", 0, 0), word("bb", 0, 1)], [("a", "x", 0, 30, "rep"), ("bb", "x", 30, 90, "rep")]),
+        ([word("x", 0, 90)], [word("", 0, 0), word("", 0, 1)], [("", "x", 0, 45, "rep"), ("", "x", 45, 90, "rep")]),
+        ([], [word("new", 3, 4)], [("new", None, 3, 4, "ins")]),
+    ]
+    table = lambda side: spark.createDataFrame([(f"s{k}", o, w, w, a, b) for k, c in enumerate(cases) for o, (w, a, b) in enumerate(c[side])], "src string, o long, norm string, w string, start_us long, end_us long")
+    segments = spark.createDataFrame([(f"s{k}", 0, 0, 1000) for k in range(len(cases))], "src string, id long, a long, b long")
+    out = align.align(table(0), table(1), segments, lambda norm: norm == "longer", 100).collect()
+    for k, (_, _, want) in enumerate(cases):
+        assert [(r.w, r.other, r.start_us, r.end_us, r.op) for r in sorted((r for r in out if r.src == f"s{k}"), key=lambda r: r.n)] == want, k
 
 
 def test_align_groups_by_segment(spark):
     words = lambda rows: spark.createDataFrame([("s", o, w, w, a, a + 5) for o, w, a in rows], "src string, o long, norm string, w string, start_us long, end_us long")
     segments = spark.createDataFrame([("s", 0, 0, 100), ("s", 1, 100, 200)], "src string, id long, a long, b long")
-    out = align.align(words([(0, "a", 0), (1, "b", 150)]), words([(0, "a", 1), (1, "c", 151)]), segments, lambda w: False, 50)
+    out = align.align(words([(0, "a", 0), (1, "b", 150)]), words([(0, "a", 1), (1, "c", 151)]), segments, lambda norm: F.lit(False), 50)
     assert sorted((r.id, r.w, r.other, r.op) for r in out.collect()) == [(0, "a", "a", "eq"), (1, "c", "b", "rep")]
 
 
