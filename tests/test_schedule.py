@@ -108,8 +108,8 @@ def test_reconcile_every_operation(spark):
         (timed[:1], [word("one", 5, 6), word("new", 990, 1010)], [("one", "one", 0, 10, "eq"), ("new", None, 990, 1000, "ins")]),
         (timed, [timed[0]], [("one", "one", 0, 10, "eq"), ("too", "too", 20, 30, "del"), ("um", "um", 40, 50, "del"), ("longer", "longer", 60, 70, "del")]),
         (timed[:1] + [word("farther", 30, 40)], [timed[0]], [("one", "one", 0, 10, "eq")]),
-        ([word("x", 0, 90)], [word("a", 0, 0), word("bb", 0, 1)], [("a", "x", 0, 30, "rep"), ("bb", "x", 30, 90, "rep")]),
-        ([word("x", 0, 90)], [word("", 0, 0), word("", 0, 1)], [("", "x", 0, 45, "rep"), ("", "x", 45, 90, "rep")]),
+        ([word("x", 0, 90)], [word("a", 1, 2), word("bb", 2, 3)], [("a", "x", 0, 30, "rep"), ("bb", "x", 30, 90, "rep")]),
+        ([word("x", 0, 90)], [word("", 1, 2), word("", 2, 3)], [("", "x", 0, 45, "rep"), ("", "x", 45, 90, "rep")]),
         ([], [word("new", 3, 4)], [("new", None, 3, 4, "ins")]),
     ]
     table = lambda side: spark.createDataFrame([(f"s{k}", o, w, w, a, b) for k, c in enumerate(cases) for o, (w, a, b) in enumerate(c[side])], "src string, o long, norm string, w string, start_us long, end_us long")
