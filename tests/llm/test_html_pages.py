@@ -86,3 +86,47 @@ def test_whole_table(spark, chain):
     want = [(0, "v", "", 0), (1, None, P[0], len(P[0])), (1, None, P[0], len(P[0])), (2, "u", "", 0), (3, "w", "\n".join([P[0]] * 40_000), 40_000 * (len(P[0]) + 1) - 1)]
     assert got == sorted(want, key=str)
     assert html_extract.extract(docs.limit(0), id_col="text", chain=chain).count() == 0
+
+
+def article(chain, html):
+    return text_of(html, chain) == f"Flood at the bridge\n{P[0]}\n{P[1]}"
+
+
+ARTICLE = f"<h1>Flood at the bridge</h1><p>{P[0]}</p><p>{P[1]}</p>"
+
+
+@pytest.mark.parametrize("words", ["has-sidebar", "no-comments", "ad-free", "page navbar-fixed", "content-with-sidebar", "wrapper menu-open", "sidebar-right header-sticky", "home blog has-menu", "cookie-banner-visible"])
+def test_words_about_the_whole_page_take_no_article_away(words, chain):
+    assert article(chain, f'<body class="{words}"><article>{ARTICLE}</article></body>')
+    assert article(chain, f'<body class="{words}"><div class="post-content">{ARTICLE}</div></body>')
+    assert article(chain, f'<body><div class="{words}"><nav><a href="/">Home</a></nav><main>{ARTICLE}</main><footer>x</footer></div></body>')
+
+
+@pytest.mark.parametrize("box", ['<div class="gdpr"><p>{0}</p></div>', '<div class="rail"><p>{0}</p></div>', '<div class="responses"><p>{0}</p><p>{0}</p></div>', '<section class="comments"><article class="comment"><p>{0}</p></article></section>', '<div class="related"><article><h3>Other</h3><p>{0}</p></article></div>'])
+def test_boxes_of_other_things_stay_out(box, chain):
+    other = box.format("We all liked this very much, and so will you, for a long time.")
+    assert article(chain, f"<body><article>{ARTICLE}</article>{other}</body>")
+    assert article(chain, f'<body class="no-sidebar"><div class="post-content">{ARTICLE}</div>{other}</body>')
+
+
+@pytest.mark.parametrize("piece", ["<ul><li>x", '<div class="a{k}">x', "<ul><li>x</z>", "<article><div class=b{k}>x"])
+def test_a_megabyte_of_nested_boxes(piece, chain):
+    import tracemalloc
+
+    html = "".join(piece.replace("{k}", str(k % 5000)) for k in range(1_000_000 // len(piece)))
+    began = time.time()
+    text_of(html, chain)
+    assert time.time() - began < 40
+    tracemalloc.start()
+    html_extract.extract_texts([html], chain, {})
+    assert tracemalloc.get_traced_memory()[1] < 900e6
+    tracemalloc.stop()
+
+
+def test_scores_of_a_path_are_those_of_its_features(chain):
+    html = '<body class="has-menu home"><div class="page"><main class="x"><section class="menu"><article><p>one</p></article><p>two</p></section></main><div class="menu"><p>three</p></div></div>four</body>'
+    weights, cache = chain.weights.tolist(), {}
+    for _, box, _ in html_extract.blocks(html):
+        want = sum((chain.weights[b] for b in html_extract.path_bits(box, cache)), 0 * chain.weights[0])
+        got = [a + b for a, b in zip(html_extract.path_scores(box, weights, cache), chain.weights[html_extract.bit(f"leaf {box.tag}", cache)], strict=True)]
+        assert abs(want - got).max() < 1e-9
