@@ -1,45 +1,13 @@
-"""Sound: sample blocks of WAV files, loudness of whole windows and of intervals, quiet seams, transcript segments that no one said."""
+"""Sound: loudness of whole windows and of intervals, quiet seams, transcript segments that no one said."""
 
 from __future__ import annotations
 
-import io
-import wave
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempora.operators import intervals, scans
 from tempora.sources.shared import stored
 
-#: Samples of one block of a WAV file.
-BLOCK = 1 << 16
-
-
-def wav_blocks(spark: SparkSession, path: str, block: int = BLOCK) -> DataFrame:
-    """src, rate, pos, x: 16-bit mono WAV files in blocks of samples (array of -1 to 1) that begin at sample pos.
-
-    A file is read by one task, block by block; an empty file gives no rows, other formats are an error.
-    """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for name, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                with wave.open(io.BytesIO(content.as_buffer())) as f:
-                    if f.getsampwidth() != 2 or f.getnchannels() != 1:
-                        raise ValueError(f"not 16-bit mono: {name}")
-                    pos = 0
-                    while len(data := f.readframes(block)):
-                        x = np.frombuffer(data, "<i2") / np.float32(32768)
-                        yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([f.getframerate()], pa.int64()), pa.array([pos], pa.int64()), pa.array([x], pa.list_(pa.float32()))], names=["src", "rate", "pos", "x"])
-                        pos += len(x)
-
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.wav").load(path)
-    return files.select(F.regexp_extract("path", r"([^/]+)\.[^./]*$", 1).alias("src"), "content").mapInArrow(run, "src string, rate long, pos long, x array<float>")
-
-
 def window_loudness(samples: DataFrame, size: int, floor_db: float = -200.0) -> DataFrame:
     """src, k, db of whole windows of `size` samples (src, pos, x); a window that is not full is left out."""
     mean = F.avg(F.col("x") * F.col("x"))

@@ -6,6 +6,7 @@ import numpy as np
 
 from tempora.functions import text as T
 from tempora.operators import audio, mutes, schedule
+from tempora.sources import media
 
 W = "src long, o long, w string, giga string, start_us long, end_us long"
 
@@ -48,7 +49,7 @@ def test_wav_blocks(spark, tmp_path):
         with wave.open(f"{tmp_path}/{name}.wav", "wb") as f:
             f.setnchannels(1), f.setsampwidth(2), f.setframerate(16_000)
             f.writeframes(data.tobytes())
-    rows = audio.wav_blocks(spark, str(tmp_path), block=300).orderBy("pos").collect()
+    rows = media.wav_blocks(spark, str(tmp_path), block=300).orderBy("pos").collect()
     assert [(r.src, r.rate, r.pos, len(r.x)) for r in rows] == [("one", 16_000, p, n) for p, n in ((0, 300), (300, 300), (600, 300), (900, 100))]
     assert np.allclose(np.concatenate([r.x for r in rows]), x / 32768)
 
