@@ -207,10 +207,17 @@ def watch_stream(spark, d):
 
 def loudness_stream(spark, d):
     samples = _stream(spark, d).select(F.col("event_type").alias("src"), "ts", F.col("value").alias("x"))
-    return watch.run_to_end(watch.loudness(samples), "complete").select("src", F.floor(F.unix_micros("start") / views.HOUR_US).cast("long").alias("t"), "raw_db", "n")
+    return watch.run_to_end(watch.loudness(samples)).select("src", F.floor(F.unix_micros("start") / views.HOUR_US).cast("long").alias("t"), "raw_db", "n")
 
 
-QUERIES = {f.__name__: f for f in (weighted_score_long, candidates_enriched, recall_at_k, marker_counts, vocab_except, two_source_mutes, coverage_gap, lost_bad_anti, time_tolerant_dedupe, caption_ends, rail_groups, gap_policy, short_merge, segment_overlap, words_off_mutes, time_remap, punch_map, nearest_interval, zoom_envelope, lost_words_check, tighten_report, align_words, proportional_split, watch_stream, loudness_stream)}
+def session_stream(spark, d):
+    """Runs of each user's events without a pause of over six hours, as a stream gives them."""
+    events = _stream(spark, d).select(F.col("user_id").alias("src"), "ts")
+    found = watch.run_to_end(watch.sessions(events, 6 * views.HOUR_US))
+    return found.select("src", F.unix_micros("a").alias("a"), F.unix_micros("b").alias("b"), "n")
+
+
+QUERIES = {f.__name__: f for f in (weighted_score_long, candidates_enriched, recall_at_k, marker_counts, vocab_except, two_source_mutes, coverage_gap, lost_bad_anti, time_tolerant_dedupe, caption_ends, rail_groups, gap_policy, short_merge, segment_overlap, words_off_mutes, time_remap, punch_map, nearest_interval, zoom_envelope, lost_words_check, tighten_report, align_words, proportional_split, watch_stream, loudness_stream, session_stream)}
 
 _W2 = base._W + r""",
 w2 AS (SELECT src, o, CASE WHEN o % 7 = 0 THEN reverse(w) ELSE w END AS w, start_us + 20000 AS start_us, end_us + 20000 AS end_us FROM words WHERE o % 11 <> 0),
@@ -277,6 +284,17 @@ SELECT src, min(ca) AS a, max(cb) AS b FROM f GROUP BY src, k""",
     "zoom_envelope": f"WITH {base._W}, pn AS (SELECT src, start_us - 40000 AS t0 FROM fb WHERE bad) SELECT w.src, w.o, round(coalesce(1 + max(CASE WHEN t0 IS NOT NULL THEN greatest(least((start_us - t0) / 70000, (t0 + 1000000 - start_us) / 250000, 1.0), 0.0) * 0.3::DOUBLE END), 1.0), 4) AS zoom FROM words w LEFT JOIN pn ON w.src = pn.src AND start_us BETWEEN t0 AND t0 + 1000000 GROUP BY 1, 2",
     "lost_words_check": f"WITH {_P}, i AS (SELECT DISTINCT w.src, o, start_us, end_us FROM words w JOIN seg ON w.src = seg.src AND start_us >= a AND end_us <= b) SELECT src, count(*) AS words, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM pc WHERE pc.src = i.src AND i.start_us >= pc.a AND i.end_us <= pc.b)) AS lost FROM i GROUP BY src",
     "proportional_split": f"WITH {base._W}, e AS (SELECT src, o // 10 AS run, min(start_us) AS a, max(end_us) AS b, sum(length(nrm)) AS s FROM nw GROUP BY 1, 2), x AS (SELECT nw.src, o, run, a, b, CASE WHEN s > 0 THEN length(nrm) ELSE 1 END AS x FROM nw JOIN e ON nw.src = e.src AND o // 10 = run), y AS (SELECT *, sum(x) OVER (PARTITION BY src, run) AS total, sum(x) OVER (PARTITION BY src, run ORDER BY o) AS upto FROM x) SELECT src, o, a + CAST(floor((b - a) * (upto - x) / total) AS BIGINT) AS from_us, a + CAST(floor((b - a) * upto / total) AS BIGINT) AS to_us FROM y",
-    "loudness_stream": f"WITH {base._S} SELECT src, t, raw_db, n FROM rms",
+    # windows and sessions that the watermark, so far behind the last event, has passed
+    "loudness_stream": f"WITH {base._S} SELECT src, t, raw_db, n FROM rms WHERE (t + 1) * 3600000000 <= (SELECT max(epoch_us(ts)) // 1000 * 1000 - 7200000000 FROM events)",
+    "session_stream": "WITH e AS (SELECT user_id AS src, epoch_us(ts) AS us FROM events), g AS (SELECT *, sum(new) OVER (PARTITION BY src ORDER BY us ROWS UNBOUNDED PRECEDING) AS g FROM (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY src ORDER BY us) <= 21600000000 THEN 0 ELSE 1 END AS new FROM e)), s AS (SELECT src, min(us) AS a, max(us) AS b, count(*) AS n FROM g GROUP BY src, g.g) SELECT * FROM s WHERE b + 21600000000 <= (SELECT max(us) // 1000 * 1000 - 3600000000 FROM e)",
+    "watch_stream": """WITH RECURSIVE c AS MATERIALIZED (SELECT user_id AS channel, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i, CASE WHEN value BETWEEN 20 AND 40 THEN NULL ELSE value >= 60 END AS live, event_id % 4 <> 0 AS active FROM events),
+f AS (SELECT channel, CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS us, '' AS action, false AS rec, CAST(NULL AS VARCHAR) AS who, CAST(0 AS BIGINT) AS offline FROM (SELECT DISTINCT channel FROM c)
+UNION ALL SELECT channel, i, us, action,
+  CASE action WHEN 'start' THEN true WHEN 'gone' THEN false WHEN 'stop' THEN false ELSE rec END,
+  CASE action WHEN 'start' THEN 'auto' WHEN 'gone' THEN NULL WHEN 'stop' THEN NULL ELSE who END,
+  CASE action WHEN 'unknown' THEN offline WHEN 'wait' THEN offline + 1 ELSE 0 END
+FROM (SELECT f.channel, c.i, c.us, rec, who, offline, CASE WHEN live IS NULL THEN 'unknown' WHEN live AND active THEN 'recording' WHEN live THEN 'start' WHEN NOT active AND rec THEN 'gone' WHEN NOT active THEN 'idle' WHEN who IS DISTINCT FROM 'auto' THEN 'manual' WHEN offline + 1 >= 3 THEN 'stop' ELSE 'wait' END AS action
+  FROM f JOIN c ON c.channel = f.channel AND c.i = f.i + 1))
+SELECT channel, us, action, offline FROM f WHERE i > 0""",
     "tighten_report": f"WITH {_P}, al AS (SELECT src, b - a AS x, 0 AS y, 0 AS p FROM seg UNION ALL SELECT src, 0, b - a, 1 FROM pc) SELECT src, CAST(sum(x) AS BIGINT) AS before_us, CAST(sum(y) AS BIGINT) AS after_us, CAST(sum(p) AS BIGINT) AS pieces, CASE WHEN sum(x) <> 0 THEN round(100 * (1 - sum(y) / sum(x)), 4) ELSE 0.0 END AS cut_pct FROM al GROUP BY ROLLUP (src)",
 }

@@ -1,14 +1,13 @@
-"""Streams: the stateful watcher of a channel, and loudness in windows of event time."""
+"""Streams: the stateful watcher of a channel, sessions and loudness in windows of event time."""
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tempora.operators.series import rms_db
 from tempora.sources.shared import shared_dir
@@ -17,6 +16,7 @@ from tempora.sources.shared import shared_dir
 LIMIT = 3
 STATE = "recording boolean, started_by string, offline long"
 IDLE = (False, None, 0)
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 def step(state: tuple, live: bool | None, active: bool, limit: int = LIMIT) -> tuple[tuple, str]:
@@ -33,39 +33,66 @@ def step(state: tuple, live: bool | None, active: bool, limit: int = LIMIT) -> t
     return (IDLE, "stop") if offline + 1 >= limit else ((recording, by, offline + 1), "wait")
 
 
-def watch(checks: DataFrame, limit: int = LIMIT) -> DataFrame:
-    """channel, ts, action, offline of every check (channel, ts, live, active), in order of time in each micro-batch.
+class Watcher(StatefulProcessor):
+    """The state machine of one channel; its state is typed and kept in the state store."""
 
-    The state of a channel is kept in the state store and survives restarts by the query's checkpoint.
+    def __init__(self, limit: int):
+        self.limit = limit
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.state = handle.getValueState("watch", STATE)
+
+    def handleInitialState(self, key, initialState: Row, timerValues) -> None:  # noqa: N802, N803
+        self.state.update((initialState.recording, initialState.started_by, initialState.offline))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        now = tuple(self.state.get()) if self.state.exists() else IDLE
+        for ts, _, live, active in sorted(((r.ts, r.order, r.live, r.active) for r in rows), key=lambda r: r[:2]):
+            now, action = step(now, live, bool(active), self.limit)
+            yield Row(channel=key[0], ts=ts, action=action, offline=now[2])
+        self.state.update(now)
+
+    def close(self) -> None:
+        pass
+
+
+def watch(checks: DataFrame, limit: int = LIMIT, initial: DataFrame | None = None) -> DataFrame:
+    """channel, ts, action, offline of every check (channel, ts, order, live, active), in order of time in each micro-batch.
+
+    The state of a channel is kept in the state store and survives restarts by the query's checkpoint;
+    `initial` (channel, recording, started_by, offline) is what channels begin with. Checks of an
+    earlier micro-batch are done: one that comes late is taken as the newest. A channel's checks of a
+    micro-batch are sorted in one task, so the source should limit its files for each trigger.
     """
+    spark = checks.sparkSession
+    # typed state needs this store; it is set for the queries that are started from now on
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     kind = checks.schema["channel"].dataType.simpleString()
+    begun = initial.groupBy("channel") if initial is not None else None
+    return checks.groupBy("channel").transformWithState(Watcher(limit), f"channel {kind}, ts timestamp, action string, offline long", "append", "none", begun)
 
-    def run(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        now = tuple(state.get) if state.exists else IDLE
-        rows = pd.concat(list(frames)).sort_values(["ts", "order"], kind="stable")
-        out = []
-        for ts, live, active in zip(rows["ts"], rows["live"], rows["active"], strict=True):
-            now, action = step(now, None if pd.isna(live) else bool(live), bool(active), limit)
-            out.append((key[0], ts, action, now[2]))
-        state.update(now)
-        yield pd.DataFrame(out, columns=["channel", "ts", "action", "offline"])
 
-    return checks.groupBy("channel").applyInPandasWithState(run, f"channel {kind}, ts timestamp, action string, offline long", STATE, "append", GroupStateTimeout.NoTimeout)
+def sessions(events: DataFrame, gap_us: int, late: str = "1 hour") -> DataFrame:
+    """src, a, b, n of each run of events (src, ts) of event time in which no pause is longer than `gap_us`.
+
+    A pause of just `gap_us` does not end a run, as session windows that touch are one. A run is given
+    once, when the watermark has passed its last event by the gap; events later than `late` are dropped.
+    """
+    runs = events.withWatermark("ts", late).groupBy("src", F.session_window("ts", f"{gap_us} microseconds").alias("w"))
+    found = runs.agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.count("*").alias("n"))
+    return found.select("src", "a", "b", "n")
 
 
 def loudness(samples: DataFrame, size: str = "1 hour", late: str = "2 hours") -> DataFrame:
-    """src, start, raw_db, n of windows of event time (src, ts, x); rows later than `late` are dropped."""
+    """src, start, raw_db, n of windows of event time (src, ts, x), each given once, when the watermark has passed its
+    end; rows later than `late` are dropped."""
     return samples.withWatermark("ts", late).groupBy("src", F.window("ts", size).alias("w")).agg(F.round(rms_db(F.col("x")), 4).alias("raw_db"), F.count("*").alias("n")).select("src", F.col("w.start").alias("start"), "raw_db", "n")
 
 
-def run_to_end(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """Reads all that the source holds now, and gives the result as a table in the shared folder."""
+def run_to_end(stream: DataFrame) -> DataFrame:
+    """Reads all that the source holds now, and gives the rows that the query appends as a table in the shared folder."""
     spark: SparkSession = stream.sparkSession
     root = shared_dir(spark)
     out, mark = f"{root}/stream-{uuid.uuid4().hex}", f"{root}/mark-{uuid.uuid4().hex}"
-    if mode == "complete":  # each batch replaces the table
-        writer = stream.writeStream.outputMode(mode).foreachBatch(lambda df, _: df.write.mode("overwrite").parquet(out))
-    else:
-        writer = stream.writeStream.outputMode(mode).format("parquet").option("path", out)
-    writer.option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
+    stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
