@@ -52,7 +52,7 @@ def test_a_pause_of_the_gap_does_not_end_a_session(spark, tmp_path):
     closing, more = [("u", at(5000))], [("u", at(5001))]
     late = [("s", at(11)), ("u", at(5002))]  # what comes late is told by the watermark of the batch before
     found = watch.run_to_end(watch.sessions(events(spark, tmp_path, [first, closing, more, late]), 10_000_000, "60 seconds")).collect()
-    assert sorted((r.src, r.a.timestamp() - at(0).timestamp(), r.b.timestamp() - at(0).timestamp(), r.n) for r in found) == [("s", 0.0, 10.0, 2), ("s", 20.000001, 20.000001, 1), ("t", 5.0, 5.0, 1)]
+    assert sorted((r.src, round(r.a.timestamp() - at(0).timestamp(), 6), round(r.b.timestamp() - at(0).timestamp(), 6), r.n) for r in found) == [("s", 0.0, 10.0, 2), ("s", 20.000001, 20.000001, 1), ("t", 5.0, 5.0, 1)]
 
 
 def test_windows_are_given_once_when_they_are_over(spark, tmp_path):
