@@ -8,13 +8,16 @@ documents, and none stays as it was. Long entities are exchanged in blocks of `B
 each under a key that depends on all characters before it, which is a permutation again. Card
 numbers keep their check digit's validity.
 
-Names are found after a title; the names found in a document are its persons. `Mrs Doe` is the
+Names are found after titles (one or several, in small or all capital letters, any white space
+behind them), with initials, particles, apostrophes and hyphens, however many words they have; days
+and months end them. The names found in a document are its persons. `Mrs Doe` is the
 document's one person of that surname whose gender fits, and every later or earlier mention of a
 person's full name or surname, with or without title, gets that person's surrogate. A surrogate
 keeps script, number of words and the gender that the person's titles tell; it is drawn by keyed
 hash from given names and invented surnames, the surname from the name alone, so it is the same in
 all documents. As that can collide, all distinct persons of the corpus are checked by a grouped
-count, and the key is changed until no two share a surname.
+count, and the key is changed until no two share a surname. Initials become initials, particles stay,
+and words of scripts other than Latin and Cyrillic are exchanged within their script.
 
 Defined results: null texts stay null, empty texts empty; text around entities is unchanged, so a
 text without entities is unchanged; overlapping finds go to the first and then the longest in the
@@ -38,18 +41,18 @@ from tempora.llm.common import map_batches, stored
 
 #: Entity types in order of precedence, and their patterns.
 TYPES = {
-    "secret": r"\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,}|(?=[0-9a-f]*[0-9])[0-9a-f]{24,}|(?=[0-9A-F]*[0-9])[0-9A-F]{32,})\b|(?<=[\"'=:\s])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{32,}={0,2}",
+    "secret": r"\b(?:AKIA[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{30,}|sk-[A-Za-z0-9_-]{20,}|(?=[0-9a-f]*[0-9])[0-9a-f]{24,}|(?=[0-9A-F]*[0-9])[0-9A-F]{32,})\b|(?<=[\"'=:\s])(?=[A-Za-z0-9+/_-]*[0-9])(?=[A-Za-z0-9+/_-]*[A-Z])(?=[A-Za-z0-9+/_-]*[a-z])[A-Za-z0-9+/_-]{32,}={0,2}|\beyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}|(?<=://)[^\s/:@]{1,64}:[^\s/:@]{1,128}@|(?<=password=)[^\s&\"']{4,}|(?<=password: )[^\s\"']{4,}|(?<=passwd=)[^\s&\"']{4,}|(?<=Passwort: )[^\s\"']{4,}",
     "email": r"(?<![\w.+-])\w[\w.+-]*@(?:[^\W_]|-)+(?:\.(?:[^\W_]|-)+)*\.[^\W\d_]{2,}",
     "ip": r"(?<![\w.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?![\w]|\.\d)",
     "ipv6": r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}|(?=[0-9A-Fa-f:]*::)(?=[0-9A-Fa-f:]*[0-9])(?:[0-9A-Fa-f]{1,4}(?:::?[0-9A-Fa-f]{1,4}){1,6}|::[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){0,6}))(?![\w:]|\.\w)",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,4})?\b(?<=[0-9]{4}|[0-9A-Z]{4})",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d)",
-    "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w])|(?<![\w.])\+\d{8,14}(?![\w])",
+    "phone": r"(?<![\w.])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?![\w])|(?<![\w.])\+\d{8,14}(?![\w])|(?<![\w./])0\d{2,5}/\d{4,9}(?![\w/])",
 }
-#: What every match of `TYPES` contains: a digit, an @, the start of a key, or two groups of an address. Texts
-#: without any of it can hold no entity but names.
-NEEDED = re.compile(r"[\d@]|sk-|gh[pousr]_|AKIA|[A-Fa-f]:[A-Fa-f]")
+#: What every match of `TYPES` contains or follows: a digit, an @, the start or the name of a key, or two groups of an
+#: address. Texts without any of it can hold no entity but names.
+NEEDED = re.compile(r"[\d@]|sk-|gh[pousr]_|AKIA|eyJ|passw|Passw|[A-Fa-f]:[A-Fa-f]")
 #: Titles that announce a name, with the gender and script that they tell.
 TITLES = {"m": "Mr|Mister|Herr|Monsieur|Señor|Sr|Signor", "f": "Mrs|Ms|Miss|Frau|Madame|Mme|Mlle|Señora|Señorita|Sra|Signora", "n": "Dr|Prof|Professor|Doktor", "cm": "господин|г-н", "cf": "госпожа|г-жа"}
 #: Given names by gender and script.
@@ -65,7 +68,33 @@ VOWELS = {"latin": "aeio", "cyrillic": "аеио"}
 ENTITY = re.compile("|".join(f"(?P<{k}>{v})" for k, v in TYPES.items()))
 #: Characters of one exchanged block.
 BLOCK = 128
-NAME = re.compile(r"\b(?:" + "|".join(f"(?P<{k}>{v})" for k, v in TITLES.items()) + r")\b\.? +(?P<name>[^\W\d_a-zà-ÿа-я][^\W\d_]+(?:[ -][^\W\d_a-zà-ÿа-я][^\W\d_]+){0,2})")
+#: Words in front of a surname that stay as they are, and capitalised words that are no names.
+PARTICLES = "von vom zu van der den ten ter de del della di da du dos des la le al el bin ibn ben af av".split()
+NO_NAMES = frozenset(
+    "Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April May June July August September October November December "
+    "Montag Dienstag Mittwoch Donnerstag Freitag Samstag Sonntag Januar Februar März Mai Juni Juli Oktober Dezember And The He She It They Und Der Die Das Er Sie Es Et Le La Il Elle Y El".split()
+)
+_SPACE = "[ \u00a0]"
+#: A capital letter of any script that has them, or a letter of one without.
+_FIRST = r"[^\W\d_a-zß-öø-ÿа-ёα-ώ]"
+_WORD = rf"{_FIRST}(?:['’]?[^\W\d_])+"
+_INITIALS = rf"(?:{_FIRST}\.-?){{1,4}}|{_FIRST}(?= )"
+_NEXT = "|".join(f"{v}|{v.upper()}" for v in TITLES.values())
+_PART = rf"(?!(?:{_NEXT})(?!\w))(?:(?:{_WORD}|{_INITIALS})(?![\w'’]))"
+_TITLE = "|".join(f"(?P<{k}>{v}|{v.upper()})" for k, v in TITLES.items())
+NAME = re.compile(rf"(?<!\w)(?:(?:{_TITLE})(?!\w)\.?\s+){{1,4}}(?P<name>(?:(?:{'|'.join(PARTICLES)}){_SPACE}+)*{_PART}(?:(?:{_SPACE}|-)(?:(?:{'|'.join(PARTICLES)}){_SPACE})*{_PART})*)")
+#: Words and single other characters: mentions are looked up by them.
+PIECE = re.compile(r"\w+|\W")
+
+
+def named(m: re.Match) -> tuple[str, str]:
+    """(name, gender) of a match: titles in front and words from a day, month or other known word on are no part of it."""
+    words = re.split(f"({_SPACE}|-)", m["name"])
+    end = next((k for k in range(0, len(words), 2) if words[k] in NO_NAMES), len(words))
+    name = "".join(words[:end]).rstrip("- \u00a0")
+    while re.fullmatch(rf"(?:{'|'.join(PARTICLES)})|.*{_SPACE}(?:{'|'.join(PARTICLES)})", name):  # nothing stands behind a particle
+        name = name.rpartition(" ")[0]
+    return name, next((k for k in TITLES if k != "n" and m[k]), "n")
 
 
 def _rounds(key: bytes, tag: str, half: int, value: int, k: int) -> int:
@@ -120,7 +149,8 @@ def alphabet(c: str) -> str:
     if not c.isalnum():
         return ""
     first, kind = ord(c) & ~127, unicodedata.category(c)
-    return "".join(x for x in map(chr, range(first, first + 128)) if unicodedata.category(x) == kind and x.isalnum() and not x.isdecimal())
+    script = lambda x: unicodedata.name(x, "").split(" ")[0]
+    return "".join(x for x in map(chr, range(first, first + 128)) if unicodedata.category(x) == kind and script(x) == script(c) and x.isalnum() and not x.isdecimal())
 
 
 def surrogate(key: bytes, kind: str, value: str) -> str:
@@ -170,32 +200,47 @@ def surrogate(key: bytes, kind: str, value: str) -> str:
     return "".join(out)
 
 
+def family(name: str) -> str:
+    """The surname: the last word of a name."""
+    return re.split(_SPACE, name)[-1]
+
+
 def name_surrogate(key: bytes, gender: str, value: str, syllables: int) -> str:
-    """A given name of the gender and script if there are several words, and an invented surname."""
-    script = "cyrillic" if re.search("[а-яА-ЯёЁ]", value) else "latin"
+    """Given names of the gender and script, and an invented surname; initials, particles and hyphens keep their places."""
     x = int.from_bytes(hmac.new(key, value.encode("utf-8", "surrogatepass"), hashlib.sha512).digest(), "big")
+    words = re.split(f"({_SPACE})", value)
+    script = "cyrillic" if re.search("[а-яА-ЯёЁ]", value) else "latin"
     given = GIVEN[gender if script == "latin" or gender[0] == "c" else "c" + ("f" if gender == "f" else "m")]
     last = ""
     for _ in range(syllables):
         x, r = divmod(x, 64)
         last += CONSONANTS[script][r % 16] + VOWELS[script][r // 16]
-    out = [last.capitalize()]
-    for _ in value.split(" ")[:-1]:
+    for k in range(0, len(words), 2):
+        word = words[k]
         x, r = divmod(x, len(given))
-        out.insert(0, given[r])
-    return " ".join(out)
+        if any(c.isalpha() and "LATIN" not in unicodedata.name(c, "") and "CYRILLIC" not in unicodedata.name(c, "") for c in word):
+            words[k] = surrogate(key, "name", word)
+        elif k == len(words) - 1:
+            words[k] = last.upper() if word.isupper() and len(word) > 1 else last.capitalize()
+        elif word not in PARTICLES:
+            initials = word.count(".")
+            new = "-".join(given[(r + j) % len(given)] for j in range(word.count("-") + 1)) if not initials else "".join(given[(r + 7 * j) % len(given)][0] + "." for j in range(initials))
+            words[k] = new.upper() if word.isupper() and len(word) > 1 else new
+    return "".join(words)
 
 
 def persons_in(text: str) -> dict[str, tuple[str, str]]:
     """Of each titled name of a text: the gender and the whole name of the person that it means."""
     titled: dict[str, set[str]] = {}
     for m in NAME.finditer(text):
-        titled.setdefault(m["name"], set()).add(next(k for k in TITLES if m[k]))
+        name, gender = named(m)
+        if name:
+            titled.setdefault(name, set()).add(gender)
     told = {name: {g for g in genders if g != "n"} for name, genders in titled.items()}
     families: dict[str, list[str]] = {}
     for name in titled:
-        if " " in name:
-            families.setdefault(name.rsplit(" ", 1)[1], []).append(name)
+        if family(name) != name:
+            families.setdefault(family(name), []).append(name)
     means = {}
     for name in titled:
         fits = [p for p in families.get(name, []) if not told[name] or not told[p] or told[name] & told[p]]
@@ -211,13 +256,35 @@ def names_in(text: str) -> list[tuple[int, int, str, str, str]]:
     if not persons:
         return []
     known = dict(persons)
+    of_family: dict[str, set[str]] = {}
+    for _, person in persons.values():
+        of_family.setdefault(family(person), set()).add(person)
     for gender, person in persons.values():  # whole names and surnames without title, where one person is meant
         known.setdefault(person, (gender, person))
-        last = person.rsplit(" ", 1)[-1]
-        if last not in known and len({p for _, p in persons.values() if p.rsplit(" ", 1)[-1] == last}) == 1:
+        last = family(person)
+        if last not in known and len(of_family[last]) == 1:
             known[last] = (gender, person)
-    some = re.compile(r"(?<!\w)(?:" + "|".join(map(re.escape, sorted(known, key=lambda x: (-len(x), x)))) + r")(?!\w)")
-    return [(m.start(), m.end(), *known[m[0]], m[0]) for m in some.finditer(text)]
+    # a tree of words, so that a text is read once whatever the number of names
+    tree: dict = {}
+    for name in known:
+        node = tree
+        for piece in PIECE.findall(name):
+            node = node.setdefault(piece, {})
+        node[""] = name
+    pieces = [(m.start(), m[0]) for m in PIECE.finditer(text)] + [(len(text), "")]
+    out, k = [], 0
+    while k < len(pieces) - 1:
+        node, j, best = tree, k, None
+        while (node := node.get(pieces[j][1]) if pieces[j][1] else None) is not None:
+            j += 1
+            if "" in node:
+                best = (j, node[""])
+        if best is None:
+            k += 1
+            continue
+        out.append((pieces[k][0], pieces[best[0]][0], *known[best[1]], best[1]))
+        k = best[0]
+    return out
 
 
 def replace(text: str, key: bytes, name_key: bytes, syllables: int) -> tuple[str, list[tuple[str, str, str]]]:
@@ -230,7 +297,7 @@ def replace(text: str, key: bytes, name_key: bytes, syllables: int) -> tuple[str
         if whole:
             new = name_surrogate(name_key, kind[5:], whole, syllables)
             if value != whole:
-                new = new.rsplit(" ", 1)[-1]
+                new = family(new)
         else:
             new = surrogate(key, kind, value)
         out += [text[at:a], new]
@@ -260,8 +327,8 @@ def name_plan(docs: DataFrame, text_col: str, key: bytes) -> tuple[bytes, int]:
         name_key = hmac.new(key, f"names {attempt}".encode(), hashlib.sha256).digest()
 
         def assign(cols, name_key=name_key):
-            last = [v.rsplit(" ", 1)[-1] for v in cols[0]]
-            new = [name_surrogate(name_key, "n", v, syllables).rsplit(" ", 1)[-1] for v in cols[0]]
+            last = [family(v) for v in cols[0]]
+            new = [family(name_surrogate(name_key, "n", v, syllables)) for v in cols[0]]
             yield [new, [a == b for a, b in zip(last, new, strict=True)]]
 
         made = map_batches(names, ["name"], assign, "surname string, same boolean")
