@@ -172,19 +172,28 @@ def even_height(w: Column, h: Column, width: int) -> Column:
 
 def title_cut(text: Column, most: int) -> Column:
     """A title of over `most` characters in two lines, at the blank nearest the middle (the earlier of two)."""
-    blanks = F.filter(F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1))), lambda i: F.substring(text, i, F.lit(1)) == " ")
-    near = F.array_min(F.transform(blanks, lambda i: F.struct(F.abs(i - 1 - F.length(text) / 2.0).alias("d"), i.alias("i"))))["i"]
-    two = F.array(F.substring(text, F.lit(1), near - 1), F.substring(text, near + 1, F.length(text)))
-    return F.when((F.length(text) <= most) | near.isNull(), F.array(text)).otherwise(two)
+    size = F.length(text)
+    # the last blank up to the middle, and the first one behind it; 0 where there is none
+    half = F.floor(size / 2).cast("int") + 1
+    back = F.instr(F.reverse(F.substring(text, F.lit(1), half)), " ")
+    ahead = F.instr(F.substring(text, half + 1, size), " ")
+    left, right = half - back + 1, half + ahead
+    away = lambda i: F.abs(i - 1 - size / 2.0)
+    near = F.when((back > 0) & ((ahead == 0) | (away(left) <= away(right))), left).when(ahead > 0, right)
+    two = F.array(F.substring(text, F.lit(1), near - 1), F.substring(text, near + 1, size))
+    return F.when((size <= most) | near.isNull(), F.array(text)).otherwise(two)
 
 
 def wrapped(words: Column, width: int) -> Column:
     """Lines of words that fit `width` characters with blanks; a longer word is a line of its own."""
-    return F.aggregate(
-        words,
-        F.expr("cast(array() as array<string>)"),
-        lambda acc, w: F.when((F.size(acc) == 0) | (F.length(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(""))) + 1 + F.length(w) > width), F.concat(acc, F.array(w))).otherwise(F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.concat(F.try_element_at(acc, F.lit(-1)), F.lit(" "), w)))),
-    )
+    kind = "struct<lines:array<string>,line:string>"
+
+    def step(acc, w):
+        full = F.length(acc["line"]) + 1 + F.length(w) > width
+        done = F.when(full, F.concat(acc["lines"], F.array(acc["line"]))).otherwise(acc["lines"])
+        return F.struct(done.alias("lines"), F.when(acc["line"].isNull() | full, w).otherwise(F.concat(acc["line"], F.lit(" "), w)).alias("line")).cast(kind)
+
+    return F.aggregate(words, F.expr(f"cast(named_struct('lines', array(), 'line', null) as {kind})"), step, lambda acc: F.when(acc["line"].isNull(), acc["lines"]).otherwise(F.concat(acc["lines"], F.array(acc["line"]))))
 
 
 #: The named colours of rich lines.

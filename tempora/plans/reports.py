@@ -320,8 +320,8 @@ def even_geometry(spark, d):
 def title_lines(spark, d):
     c = views.table(spark, d, "conversations")
     title = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", " "))
-    lines = T.title_cut(title, 40)
-    return c.select("conv_id", "turn", F.size(lines).cast("long").alias("n"), lines[0].alias("one"), F.coalesce(F.get(lines, 1), F.lit("")).alias("two"))
+    cut = c.select("conv_id", "turn", title.alias("title")).select("conv_id", "turn", T.title_cut(F.col("title"), 40).alias("lines"))
+    return cut.select("conv_id", "turn", F.size("lines").cast("long").alias("n"), F.col("lines")[0].alias("one"), F.coalesce(F.get("lines", 1), F.lit("")).alias("two"))
 
 
 def greedy_wrap(spark, d):
