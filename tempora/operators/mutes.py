@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tempora.functions import text as T
 from tempora.operators import intervals
+from tempora.sources.shared import stored
 
 BUCKET = 10_000_000
 
@@ -55,7 +56,8 @@ def overlapping(rows: DataFrame, others: DataFrame, row: list[str], flag: str) -
 
 def with_sources(whole: DataFrame, one: DataFrame, two: DataFrame) -> DataFrame:
     """Merged windows with `source`: `1`, `2` or `1+2`, by the windows of two transcripts that they overlap."""
-    both = overlapping(overlapping(whole, one, ["a", "b"], "_1"), two, ["a", "b"], "_2")
+    whole, one, two = stored(whole, "windows"), stored(one.select("src", "a", "b"), "one"), stored(two.select("src", "a", "b"), "two")
+    both = overlapping(stored(overlapping(whole, one, ["a", "b"], "_1"), "flagged"), two, ["a", "b"], "_2")
     return both.withColumn("source", F.when(F.col("_1") & F.col("_2"), "1+2").when(F.col("_1"), "1").otherwise("2")).drop("_1", "_2")
 
 
