@@ -32,10 +32,8 @@ def suppressed_peaks(spark, d):
 def active_spans(spark, d):
     """For each event, how many users' times from first to last event of the type hold it."""
     events = views.samples(spark, d).select("src", "us", "user_id")
-    spans = events.groupBy("src", "user_id").agg(F.min("us").alias("ra"), F.max("us").alias("rb")).select("src", "ra", "rb")
-    points = events.select("src", F.col("us").alias("la"), F.col("us").alias("lb")).groupBy("src", "la", "lb").agg(F.count("*").alias("events"))
-    met = intervals.range_join(points, spans, "src", 3_600_000_000, F.lit(True))
-    return met.groupBy("src", F.col("la").alias("us")).agg(F.max("events").alias("events"), F.count("*").alias("active"))
+    spans = events.groupBy("src", "user_id").agg(F.min("us").alias("a"), F.max("us").alias("b"))
+    return intervals.stabbings(events.select("src", F.col("us").alias("t")), spans).select("src", F.col("t").alias("us"), F.col("n").alias("events"), F.col("on").alias("active"))
 
 
 def _voiced(spark: SparkSession, d: str) -> DataFrame:

@@ -106,6 +106,25 @@ def test_union_over_slices(spark):
         assert gaps == sorted(plain)
 
 
+def test_stabbings_count_without_pairs(spark):
+    draw = random.Random(8)
+    points = [("s", draw.randint(0, 3000)) for _ in range(600)] + [("t", 7), ("t", 7), ("u", 1), (None, 5), ("s", None)]
+    ranges = [("s", a, a + draw.choice([-1, 0, 5, 400, 5000])) for a in (draw.randint(-200, 3000) for _ in range(300))] + [("t", 7, 7), ("t", 0, 6), (None, 0, 9), ("s", None, 4)]
+    found = intervals.stabbings(spark.createDataFrame(points, "src string, t long").repartition(3), spark.createDataFrame(ranges, "src string, a long, b long"), slice_us=50)
+    want = set()
+    for s, t in {p for p in points if None not in p}:
+        on = sum(x == s and a is not None and a <= t <= b for x, a, b in ranges)
+        want |= {(s, t, points.count((s, t)), on)} if on else set()
+    got = [tuple(r) for r in found.collect()]
+    assert len(got) == len(want) and set(got) == want
+    # twenty thousand ranges, each over twenty thousand times: 400 million pairs, none of which is built
+    many = spark.range(20_000).select(F.lit("s").alias("src"), F.col("id").alias("t"), (-F.col("id")).alias("a"), (F.col("id") + 20_000).alias("b"))
+    wide = intervals.stabbings(many.select("src", "t"), many.select("src", "a", "b"), slice_us=1000)
+    plan = wide._jdf.queryExecution().toString()
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
+    assert wide.agg(F.count("*"), F.min("on"), F.max("on")).first() == (20_000, 20_000, 20_000)
+
+
 def test_as_of_over_slices(spark):
     draw = random.Random(3)
     right = [("s", t, t * 10, None if t % 3 else t) for t in draw.sample(range(5000), 120)]
