@@ -207,7 +207,7 @@ def watch_stream(spark, d):
 
 def loudness_stream(spark, d):
     samples = _stream(spark, d).select(F.col("event_type").alias("src"), "ts", F.col("value").alias("x"))
-    return watch.run_to_end(watch.loudness(samples)).select("src", F.floor(F.unix_micros("start") / views.HOUR_US).cast("long").alias("t"), "raw_db", "n")
+    return watch.whole_loudness(samples).select("src", F.floor(F.unix_micros("start") / views.HOUR_US).cast("long").alias("t"), "raw_db", "n")
 
 
 def session_stream(spark, d):
@@ -285,7 +285,7 @@ SELECT src, min(ca) AS a, max(cb) AS b FROM f GROUP BY src, k""",
     "lost_words_check": f"WITH {_P}, i AS (SELECT DISTINCT w.src, o, start_us, end_us FROM words w JOIN seg ON w.src = seg.src AND start_us >= a AND end_us <= b) SELECT src, count(*) AS words, count(*) FILTER (WHERE NOT EXISTS (SELECT 1 FROM pc WHERE pc.src = i.src AND i.start_us >= pc.a AND i.end_us <= pc.b)) AS lost FROM i GROUP BY src",
     "proportional_split": f"WITH {base._W}, e AS (SELECT src, o // 10 AS run, min(start_us) AS a, max(end_us) AS b, sum(length(nrm)) AS s FROM nw GROUP BY 1, 2), x AS (SELECT nw.src, o, run, a, b, CASE WHEN s > 0 THEN length(nrm) ELSE 1 END AS x FROM nw JOIN e ON nw.src = e.src AND o // 10 = run), y AS (SELECT *, sum(x) OVER (PARTITION BY src, run) AS total, sum(x) OVER (PARTITION BY src, run ORDER BY o) AS upto FROM x) SELECT src, o, a + CAST(floor((b - a) * (upto - x) / total) AS BIGINT) AS from_us, a + CAST(floor((b - a) * upto / total) AS BIGINT) AS to_us FROM y",
     # windows and sessions that the watermark, so far behind the last event, has passed
-    "loudness_stream": f"WITH {base._S} SELECT src, t, raw_db, n FROM rms WHERE (t + 1) * 3600000000 <= (SELECT max(epoch_us(ts)) // 1000 * 1000 - 7200000000 FROM events)",
+    "loudness_stream": f"WITH {base._S} SELECT src, t, raw_db, n FROM rms",
     "session_stream": "WITH e AS (SELECT user_id AS src, epoch_us(ts) AS us FROM events), g AS (SELECT *, sum(new) OVER (PARTITION BY src ORDER BY us ROWS UNBOUNDED PRECEDING) AS g FROM (SELECT *, CASE WHEN us - lag(us) OVER (PARTITION BY src ORDER BY us) <= 21600000000 THEN 0 ELSE 1 END AS new FROM e)), s AS (SELECT src, min(us) AS a, max(us) AS b, count(*) AS n FROM g GROUP BY src, g.g) SELECT * FROM s WHERE b + 21600000000 <= (SELECT max(us) // 1000 * 1000 - 3600000000 FROM e)",
     "watch_stream": """WITH RECURSIVE c AS MATERIALIZED (SELECT user_id AS channel, epoch_us(ts) AS us, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i, CASE WHEN value BETWEEN 20 AND 40 THEN NULL ELSE value >= 60 END AS live, event_id % 4 <> 0 AS active FROM events),
 f AS (SELECT channel, CAST(0 AS BIGINT) AS i, CAST(NULL AS BIGINT) AS us, '' AS action, false AS rec, CAST(NULL AS VARCHAR) AS who, CAST(0 AS BIGINT) AS offline FROM (SELECT DISTINCT channel FROM c)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +16,8 @@ from tempora.sources.shared import shared_dir
 LIMIT = 3
 STATE = "recording boolean, started_by string, offline long"
 IDLE = (False, None, 0)
+#: A time that no row of a source that has ended is past.
+END = "9999-01-01 00:00:00"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -89,10 +91,28 @@ def loudness(samples: DataFrame, size: str = "1 hour", late: str = "2 hours") ->
     return samples.withWatermark("ts", late).groupBy("src", F.window("ts", size).alias("w")).agg(F.round(rms_db(F.col("x")), 4).alias("raw_db"), F.count("*").alias("n")).select("src", F.col("w.start").alias("start"), "raw_db", "n")
 
 
-def run_to_end(stream: DataFrame) -> DataFrame:
-    """Reads all that the source holds now, and gives the rows that the query appends as a table in the shared folder."""
+def run_to_end(stream: DataFrame, close: Callable[[], None] | None = None) -> DataFrame:
+    """Reads all that the source holds now, and gives the rows that the query appends as a table in the shared folder.
+
+    With `close`, the query then goes on from its checkpoint over what that has put into the source.
+    """
     spark: SparkSession = stream.sparkSession
     root = shared_dir(spark)
     out, mark = f"{root}/stream-{uuid.uuid4().hex}", f"{root}/mark-{uuid.uuid4().hex}"
-    stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
+    run = lambda: stream.writeStream.outputMode("append").format("parquet").option("path", out).option("checkpointLocation", mark).trigger(availableNow=True).start().awaitTermination()
+    run()
+    if close:
+        close()
+        run()
     return spark.read.schema(stream.schema).parquet(out)
+
+
+def whole_loudness(samples: DataFrame, size: str = "1 hour", late: str = "2 hours") -> DataFrame:
+    """`loudness` of a source that has ended: all that it holds now is read, then a closing row far ahead, alone in a
+    second source, moves the watermark past the last windows, so those come too. The closing row's own stays open."""
+    spark: SparkSession = samples.sparkSession
+    end = f"{shared_dir(spark)}/end-{uuid.uuid4().hex}"
+    closing = spark.range(1).select(*(F.lit(None).cast(f.dataType).alias(f.name) if f.name != "ts" else F.lit(END).cast("timestamp").alias("ts") for f in samples.schema))
+    closing.limit(0).write.parquet(end)
+    both = loudness(samples.unionByName(spark.readStream.schema(closing.schema).parquet(end)), size, late)
+    return run_to_end(both, lambda: closing.write.mode("append").parquet(end))

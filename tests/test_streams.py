@@ -60,3 +60,19 @@ def test_windows_are_given_once_when_they_are_over(spark, tmp_path):
     found = watch.run_to_end(watch.loudness(events(spark, tmp_path, files))).collect()
     # the third row of the first hour comes before its end is passed, the fourth after; the last hour is still open
     assert sorted((r.start.timestamp() - at(0).timestamp(), r.n) for r in found) == [(0.0, 3), (3600.0, 1)]
+
+
+def test_a_source_that_has_ended_gives_its_last_windows_too(spark, tmp_path):
+    rows = [("s", at(10)), ("s", at(3599)), ("s", at(3600 * 5)), ("t", at(3600 * 5 + 1)), ("s", at(-7200)), (None, at(20))]
+    put(spark, tmp_path / "in", [(s, t, 1.0) for s, t in rows], "src string, ts timestamp, x double")
+    stream = spark.readStream.schema("src string, ts timestamp, x double").parquet(str(tmp_path / "in"))
+    found = watch.whole_loudness(stream).collect()
+    assert sorted((r.src or "", (r.start.timestamp() - at(0).timestamp()) // 3600, r.n) for r in found) == [("", 0, 1), ("s", -2, 1), ("s", 0, 2), ("s", 5, 1), ("t", 5, 1)]
+
+
+def test_loudness_stream_holds_every_window_of_the_events(spark):
+    from tempora.plans import queries, schedules
+
+    d = "/root/testdata/sf0.001"
+    key = lambda df: sorted((r.src, r.t, r.raw_db, r.n) for r in df.collect())
+    assert key(schedules.loudness_stream(spark, d)) == key(queries.rms_per_bucket(spark, d))
