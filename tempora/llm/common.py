@@ -28,11 +28,11 @@ def shared_dir(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Cut lineage: write a table into the shared folder and read it again."""
+def stored(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
+    """Cut lineage: write a table into the shared folder, with `options` of the writer, and read it again."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

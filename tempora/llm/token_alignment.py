@@ -10,6 +10,8 @@ Counts need all documents, links of one id pair many of them. So documents are d
 bounded number of tokens, and a chunk asks once for each distinct id pair that it holds: pairs are
 summed (the chunk has summed its own before), joined back to the chunks that asked, and the answers of
 a chunk meet its documents. The greatest count of each A id has at most as many rows as A has ids.
+A row of the JVM's is a document or a block of a chunk's pairs, as a whole chunk in a row would be
+megabytes that readers, sorts and writers hold by the hundred; a chunk is whole in Python only.
 
 Defined results: texts that are null or empty, or whose joined A or B bytes differ from the text behind
 a blank, have no tokens, zeros and an empty groups string; special tokens' strings are plain text; rows
@@ -47,8 +49,12 @@ PIECE = regex.compile(r"\s++\S*+")
 PLAIN = regex.compile(r"[\t\n -~\u00a1-\u012f\u0131-\u024f\u0391-\u03a1\u03a4-\u03ff\u0400-\u0481\u048a-\u052f\u2010-\u2027\u2030-\u205e\u20ac]*+")
 #: Pieces whose alignment a task remembers, and the longest of them.
 MEMORY, LONGEST = 300_000, 64
-#: Places of a chunk's row that hold one value for each document, and their types.
-PER_DOC = {"n_a": "long", "n_b": "long", "n_groups": "long", "n_links": "long", "groups": "string", "pairs": "long"}
+#: Id pairs of one row.
+BLOCK = 4096
+#: Of the stored rows: bytes of a row group, and rows after which its size is looked at.
+GROUPS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "10", "parquet.page.size.row.check.max": "200"}
+#: Columns of a document that are given as they are, and their types.
+PER_DOC = {"n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups": pa.string()}
 
 
 class Pair:
@@ -242,34 +248,44 @@ def loaded(a_json: str, b_model: bytes) -> Pair:
 
 
 def chunks(docs: DataFrame, a_json: str, b_model: bytes, id_col: str, text_col: str, as_text: bool, chunk_tokens: int) -> DataFrame:
-    """A row for each chunk: `chunk`; ids and the columns of `PER_DOC`, an entry a document; `codes` and `holders`,
-    the distinct id pairs and how many documents of the chunk hold each; `at` and `links`, document by
-    document the places of its pairs in `codes` and their links."""
+    """Rows of chunks, of two kinds. A document: `chunk`, `id`, the columns of `PER_DOC`, `at` and `links`, the places of
+    its id pairs among the chunk's and their links. A block of the chunk's distinct id pairs: `chunk`, `first`, the
+    place of the first, `codes` and `holders`, how many documents of the chunk hold each."""
     box = docs.sparkSession.sparkContext.broadcast((a_json, b_model))
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("x"))
     kind = rows.schema["id"].dataType
-    types = {"n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups": pa.string(), "pairs": pa.int64()}
-    schema = pa.schema([("chunk", pa.int64()), ("ids", pa.list_(to_arrow_type(kind))), *((c, pa.list_(t)) for c, t in types.items()), ("codes", pa.list_(pa.int64())), ("holders", pa.list_(pa.int64())), ("at", pa.list_(pa.int32())), ("links", pa.list_(pa.int64()))])
+    schema = pa.schema([("chunk", pa.int64()), ("id", to_arrow_type(kind)), *PER_DOC.items(), ("at", pa.list_(pa.int32())), ("links", pa.list_(pa.int64())), ("first", pa.int32()), ("codes", pa.list_(pa.int64())), ("holders", pa.list_(pa.int64()))])
+
+    def lists(ends: np.ndarray, flat: np.ndarray, of: pa.DataType) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(flat, of))
+
+    def rows_of(chunk: int, many: int, cells: dict[str, pa.Array]) -> pa.RecordBatch:
+        given = {"chunk": pa.array(np.full(many, chunk))} | cells
+        return pa.RecordBatch.from_arrays([given[f.name].cast(f.type) if f.name in given else pa.nulls(many, f.type) for f in schema], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = loaded(*box.value)
         number = TaskContext.get().partitionId() << 33
         held: list[tuple[pa.Array, Slice]] = []
 
-        def flush() -> pa.RecordBatch:
+        def flush() -> Iterator[pa.RecordBatch]:
             nonlocal number
             parts = [s for _, s in held]
             codes, at = np.unique(np.concatenate([s.code for s in parts]), return_inverse=True)
-            column = lambda name: np.concatenate([getattr(s, name) for s in parts])
-            pairs = np.concatenate([np.bincount(s.doc, minlength=len(s.n_a)) for s in parts])
-            cells = [[number], pa.concat_arrays([i for i, _ in held]), column("n_a"), column("n_b"), column("n_groups"), column("n_links"), [g for s in parts for g in s.groups], pairs, codes, np.bincount(at, minlength=len(codes)), at, column("links")]
-            out = [pa.array(cells[0], pa.int64())]
-            for c, f in zip(cells[1:], list(schema)[1:], strict=True):
-                flat = c.cast(f.type.value_type) if isinstance(c, pa.Array) else pa.array(c, f.type.value_type)
-                out.append(pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat))
+            holders = np.bincount(at, minlength=len(codes))
+            first = np.arange(0, len(codes), BLOCK)
+            ends = np.minimum(first + BLOCK, len(codes))
+            if len(codes):
+                yield rows_of(number, len(first), {"first": pa.array(first), "codes": lists(ends, codes, pa.int64()), "holders": lists(ends, holders, pa.int64())})
+            done = 0
+            for ids, part in held:
+                pairs = np.bincount(part.doc, minlength=len(part.n_a))
+                own = at[done : done + len(part.code)]
+                done += len(part.code)
+                cells = {c: pa.array(getattr(part, c), t) for c, t in PER_DOC.items()}
+                yield rows_of(number, len(ids), {"id": ids, **cells, "at": lists(np.cumsum(pairs), own, pa.int32()), "links": lists(np.cumsum(pairs), part.links, pa.int64())})
             number += 1
             held.clear()
-            return pa.RecordBatch.from_arrays(out, schema=schema)
 
         total = 0
         for batch in batches:
@@ -278,22 +294,22 @@ def chunks(docs: DataFrame, a_json: str, b_model: bytes, id_col: str, text_col:
             for a, b in runs(size, SLICE):
                 part = align_slice(pair, texts.slice(a, b - a).to_pylist(), as_text)
                 if held and total + int(part.n_a.sum()) > chunk_tokens:
-                    yield flush()
+                    yield from flush()
                     total = 0
                 held.append((batch.column(0).slice(a, b - a), part))
                 total += int(part.n_a.sum())
         if held:
-            yield flush()
+            yield from flush()
         release()
 
     with_batches_of(docs.sparkSession, TEXT_ROWS)
-    per_doc = ", ".join(f"{c} array<{t}>" for c, t in PER_DOC.items())
-    return rows.mapInArrow(run, f"chunk long, ids array<{kind.simpleString()}>, {per_doc}, codes array<long>, holders array<long>, at array<int>, links array<long>")
+    return rows.mapInArrow(run, f"chunk long, id {kind.simpleString()}, n_a long, n_b long, n_groups long, n_links long, groups string, at array<int>, links array<long>, first int, codes array<long>, holders array<long>")
 
 
 def pair_counts(made: DataFrame) -> DataFrame:
     """code, count: how many documents hold each id pair linked."""
-    return made.select(F.explode(F.arrays_zip("codes", "holders")).alias("p")).groupBy(F.col("p.codes").alias("code")).agg(F.sum("p.holders").alias("count"))
+    blocks = made.filter("first is not null").select(F.explode(F.arrays_zip("codes", "holders")).alias("p"))
+    return blocks.groupBy(F.col("p.codes").alias("code")).agg(F.sum("p.holders").alias("count"))
 
 
 def align(docs: DataFrame, a_json: str, b_model: bytes, id_col: str = "doc_id", text_col: str = "text", as_text: bool = True, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
@@ -302,33 +318,28 @@ def align(docs: DataFrame, a_json: str, b_model: bytes, id_col: str = "doc_id",
     `groups` is written `a1,a2|b1;a3|b2,b3`, without `as_text` its SHA-256; a link's count is how many
     documents hold its id pair linked, and it is best if no pair of its A id has a greater one.
     """
-    made = stored(chunks(docs, a_json, b_model, id_col, text_col, as_text, chunk_tokens), "chunks")
+    made = stored(chunks(docs, a_json, b_model, id_col, text_col, as_text, chunk_tokens), "chunks", GROUPS)
     counts = stored(pair_counts(made), "pair-counts")
     # one row for each id of A at most
     best = counts.groupBy(F.shiftright("code", 16).alias("a")).agg(F.max("count").alias("most"))
     known = counts.join(F.broadcast(best), F.shiftright("code", 16) == F.col("a")).select("code", "count", (F.col("count") == F.col("most")).alias("best"))
-    asked = made.select("chunk", F.posexplode("codes").alias("k", "code"))
-    told = asked.join(known, "code").select("chunk", F.struct("k", "count", "best").alias("told")).groupBy("chunk").agg(F.collect_list("told").alias("told"))
-    both = made.select("chunk", "ids", *PER_DOC, "at", "links").join(told, "chunk", "left").drop("chunk")
-    kind = both.schema["ids"].dataType.elementType
-    schema = pa.schema([("id", to_arrow_type(kind)), ("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups", pa.string()), ("n_best", pa.int64()), ("count_sum", pa.int64())])
+    asked = made.filter("first is not null").select("chunk", "first", F.posexplode("codes").alias("k", "code"))
+    told = asked.join(known, "code").select(F.col("chunk").alias("asking"), (F.col("first") + F.col("k")).alias("k"), "count", "best")
+    own = made.filter("first is null").select("chunk", "id", *PER_DOC, "at", "links")
+    kind = own.schema["id"].dataType
+    schema = pa.schema([("id", to_arrow_type(kind)), *PER_DOC.items(), ("n_best", pa.int64()), ("count_sum", pa.int64())])
+
+    def run(docs: pa.Table, told: pa.Table) -> pa.Table:
+        k, count, best = (told.column(c).to_numpy() for c in ("k", "count", "best"))
+        count_of, best_of = np.zeros(len(k), np.int64), np.zeros(len(k), np.int64)
+        count_of[k], best_of[k] = count, best
+        doc = np.repeat(np.arange(docs.num_rows), pc.list_value_length(docs.column("at")).to_numpy())
+        at, links = (pc.list_flatten(docs.column(c)).to_numpy() for c in ("at", "links"))
+        sums = [np.zeros(docs.num_rows, np.int64) for _ in range(2)]
+        for total, of in zip(sums, (best_of, count_of), strict=True):
+            np.add.at(total, doc, links * of[at])
+        return pa.table([*(docs.column(f.name) for f in list(schema)[:-2]), *map(pa.array, sums)], names=schema.names).cast(schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                cell = {name: batch.column(name)[row].values for name in batch.schema.names}
-                values = lambda name: cell[name].to_numpy(zero_copy_only=False)  # noqa: B023, E731
-                doc = np.repeat(np.arange(len(cell["pairs"])), values("pairs"))
-                n_best, total = np.zeros(len(cell["pairs"]), np.int64), np.zeros(len(cell["pairs"]), np.int64)
-                if len(doc):
-                    k, count, best = (cell["told"].field(f).to_numpy(zero_copy_only=False) for f in ("k", "count", "best"))
-                    count_of, best_of = np.zeros(len(k), np.int64), np.zeros(len(k), np.int64)
-                    count_of[k], best_of[k] = count, best
-                    at, links = values("at"), values("links")
-                    np.add.at(n_best, doc, links * best_of[at])
-                    np.add.at(total, doc, links * count_of[at])
-                yield pa.RecordBatch.from_arrays([cell["ids"].cast(schema.field(0).type), *(cell[c].cast(schema.field(c).type) for c in ("n_a", "n_b", "n_groups", "n_links", "groups")), pa.array(n_best), pa.array(total)], schema=schema)
-        release()
-
-    with_batches_of(docs.sparkSession, 1)  # a row is a chunk
-    return both.mapInArrow(run, f"id {kind.simpleString()}, n_a long, n_b long, n_groups long, n_links long, groups string, n_best long, count_sum long").withColumnRenamed("id", id_col)
+    with_batches_of(docs.sparkSession, TEXT_ROWS)
+    both = own.groupBy("chunk").cogroup(told.groupBy("asking"))
+    return both.applyInArrow(run, f"id {kind.simpleString()}, n_a long, n_b long, n_groups long, n_links long, groups string, n_best long, count_sum long").withColumnRenamed("id", id_col)

@@ -115,3 +115,13 @@ def test_alignment_of_an_empty_table(spark):
     assert found.count() == 0 and found.columns[:2] == ["doc_id", "n_a"]
     nothing = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string").withColumn("n", F.lit(1))
     assert {(r.n_a, r.n_links, r.groups, r.count_sum) for r in token_alignment.align(nothing, A_JSON, B_MODEL).collect()} == {(0, 0, "", 0)}
+
+
+def test_no_stored_row_of_an_alignment_holds_a_chunk(spark):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    docs = spark.range(0, 6000, 1, 1).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *(F.translate(F.substring(F.md5(F.concat("id", F.lit(f"/{k}"))), 1, 6), "0123456789", letters[10:20]) for k in range(20))).alias("text"))
+    made = token_alignment.chunks(docs, A_JSON, B_MODEL, "doc_id", "text", False, token_alignment.CHUNK_TOKENS).collect()
+    assert sum(r.first is None for r in made) == 6000 and len({r.chunk for r in made}) == 1
+    blocks = [r for r in made if r.first is not None]
+    assert len(blocks) > 1 and max(len(r.codes) for r in blocks) <= token_alignment.BLOCK
+    assert max(len(r.at) for r in made if r.first is None) < 200
