@@ -9,6 +9,9 @@ from tempora.operators import intervals, scans
 from tempora.operators.sessions import gap_islands
 from tempora.sources.shared import stored
 
+#: A time before all others.
+HEAD = -(1 << 62)
+
 
 def gap_policy(islands: DataFrame, cut_us: int = 450_000, half_us: int = 125_000, by: str = "src") -> DataFrame:
     """Pieces over disjoint islands: pauses up to `cut_us` stay, of longer ones `half_us` on each side. by, a, b, n."""
@@ -88,26 +91,30 @@ def remap(points: DataFrame, keeps: DataFrame, row: list[str], bucket: int = 10_
     return points.join(out, [by, *row], "left")
 
 
-def nearest(points: DataFrame, keeps: DataFrame, row: list[str], by: str = "src") -> DataFrame:
+def nearest(points: DataFrame, keeps: DataFrame, row: list[str], by: str = "src", slice_us: int = scans.SLICE_US) -> DataFrame:
     """Points (by, row, t) with the nearest of disjoint keeps [a, b): near_id, dist, snapped.
 
     Only the last keep that starts at or before a point and the first after it can be nearest; the
     earlier wins a tie. A point at or past an end is 1 ms farther, and snaps to 1 ms before it.
+    A keep brings the next one with it, and a row before all times the first, so points are put in
+    order once, slice by slice.
     """
+    kind = "struct<id:bigint,a:bigint,b:bigint,next:struct<id:bigint,a:bigint,b:bigint>>"
     keep = F.struct("id", "a", "b")
-    kind = "struct<id:bigint,a:bigint,b:bigint>"
-    both = points.select(by, *row, "t", F.lit(None).cast(kind).alias("k"), F.lit(1).alias("_side")).unionByName(keeps.select(by, *(F.lit(None).cast(points.schema[c].dataType).alias(c) for c in row), F.col("a").alias("t"), keep.cast(kind).alias("k"), F.lit(0).alias("_side")))
-    w, back = Window.partitionBy(by).orderBy("t", "_side"), Window.partitionBy(by).orderBy(F.desc("t"), F.desc("_side"))
-    before = lambda w, end: F.last("k", True).over(w.rowsBetween(Window.unboundedPreceding, end))
-    p, q = before(w, 0), before(back, -1)  # a growing frame in either order is read once
-    near = both.withColumns({"p": p, "q": q}).filter("_side = 1")
-    dp = F.when(F.col("t") < F.col("p.b"), F.lit(0).cast("long")).otherwise(F.col("t") - F.col("p.b") + 1000)
-    dq = F.col("q.a") - F.col("t")
-    first = F.col("p").isNotNull() & (F.col("q").isNull() | (dp <= dq))
-    k = F.when(first, F.col("p")).otherwise(F.col("q"))
-    near = near.withColumns({"k": k, "dist": F.when(first, dp).otherwise(dq)})
-    snap = F.when(F.col("t") < F.col("k.a"), F.col("k.a")).when(F.col("t") >= F.col("k.b"), F.col("k.b") - 1000).otherwise(F.col("t"))
-    return near.select(by, *row, "t", F.col("k.id").alias("near_id"), "dist", snap.alias("snapped"))
+    # keeps in falling order: what came before is the next one
+    back = scans.running(scans.deal(keeps.select(by, "id", "a", "b", (-F.col("a")).alias("_a")), [by], "_a", slice_us), [by], ["_a"], {"next": ("last", keep)})
+    begun = back.select(by, F.col("a").alias("t"), F.struct("id", "a", "b", "next").cast(kind).alias("k"))
+    none = F.lit(None).cast("long")
+    head = keeps.groupBy(by).agg(F.min_by(keep, "a").alias("next")).select(by, F.lit(HEAD).alias("t"), F.struct(none.alias("id"), none.alias("a"), none.alias("b"), F.col("next")).cast(kind).alias("k"))
+    both = points.select(by, *row, "t", F.lit(None).cast(kind).alias("k"), F.lit(1).alias("_side")).unionByName(begun.unionByName(head).select(by, *(F.lit(None).cast(points.schema[c].dataType).alias(c) for c in row), "t", "k", F.lit(0).alias("_side")))
+    near = scans.running(scans.deal(both, [by], "t", slice_us), [by], ["t", "_side"], {"p": ("last", F.col("k"))}).filter("_side = 1")
+    p, q = F.col("p"), F.col("p.next")
+    dp = F.when(F.col("t") < p["b"], F.lit(0).cast("long")).otherwise(F.col("t") - p["b"] + 1000)
+    dq = q["a"] - F.col("t")
+    first = p["id"].isNotNull() & (q["id"].isNull() | (dp <= dq))
+    near = near.select(by, *row, "t", F.when(first, p["id"]).otherwise(q["id"]).alias("near_id"), F.when(first, p["a"]).otherwise(q["a"]).alias("_a"), F.when(first, p["b"]).otherwise(q["b"]).alias("_b"), F.when(first, dp).otherwise(dq).alias("dist"))
+    snap = F.when(F.col("t") < F.col("_a"), F.col("_a")).when(F.col("t") >= F.col("_b"), F.col("_b") - 1000).otherwise(F.col("t"))
+    return near.select(by, *row, "t", "near_id", "dist", snap.alias("snapped"))
 
 
 def envelope(points: DataFrame, punches: DataFrame, row: list[str], scale: float = 1.3, dur_us: int = 1_000_000, attack_us: int = 70_000, release_us: int = 250_000, by: str = "src") -> DataFrame:

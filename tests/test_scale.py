@@ -230,3 +230,26 @@ def test_words_of_a_long_source_over_slices(spark):
         island += last is None or a - last > 12
         last = b
         assert got[o] == island
+
+
+def test_nearest_keep_over_slices_equals_the_plain_search(spark):
+    import re
+
+    from tempora.operators import schedule
+
+    draw = random.Random(11)
+    keeps, points = [], [("none", k, k) for k in range(3)]
+    for src, first, many in (("s", 500, 40), ("t", 0, 1), ("u", -900, 25)):
+        at = first
+        for i in range(many):
+            keeps.append((src, i, at, at + draw.randint(1, 60)))
+            at = keeps[-1][3] + draw.choice([0, 3, 700, 2500])
+        points += [(src, k, draw.randint(first - 3000, at + 3000)) for k in range(400)] + [(src, 1000 + k, t) for k, t in enumerate([x for s, _, a, b in keeps if s == src for x in (a, b, a - 1)])]
+    found = schedule.nearest(spark.createDataFrame(points, "src string, o long, t long").repartition(3), spark.createDataFrame(keeps, "src string, id long, a long, b long"), ["o"], slice_us=64)
+    assert not re.search(r"windowspecdefinition\(src#\d+, t#", found._jdf.queryExecution().optimizedPlan().toString())  # no task has a source's points
+    got = {(r.src, r.o): (r.near_id, r.dist, r.snapped) for r in found.collect()}
+    assert len(got) == len(points)
+    for src, o, t in points:
+        own = [(0 if a <= t < b else a - t if t < a else t - b + 1000, i, t if a <= t < b else a if t < a else b - 1000) for s, i, a, b in keeps if s == src]
+        dist, i, snapped = min(own, default=(None, None, t))
+        assert got[src, o] == (i, dist, snapped), (src, t)
