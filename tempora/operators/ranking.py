@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempora.operators import intervals
+from tempora.sources.shared import stored
 
 
 def to_long(series: DataFrame, features: list[str]) -> DataFrame:
@@ -50,21 +51,27 @@ def recall_at(points: DataFrame, refs: DataFrame, ks: list[int], pad: int = 5) -
 
 
 def dedupe_in_time(words: DataFrame, word: str, within_us: int = 250_000) -> DataFrame:
-    """Drops a word that starts at most `within_us` after the last kept one of the same src and word.
+    """src, word, start_us, end_us, o without words that start at most `within_us` after the last kept one of the same
+    src and word.
 
-    Kept words of a key are ordered in time, so the last one decides. Words with a longer pause
-    before them are kept anyway and cut the key into runs; only a run is folded.
+    Kept words of a key are ordered in time, so the last one decides. A word with a longer pause before
+    it is kept anyway and begins a run, and what starts within the time of that goes: both are told in
+    one pass in order. Only the rest, which runs that last longer have, is folded, run by run.
     """
     w = Window.partitionBy("src", word).orderBy("start_us", "end_us", "o")
-    new = F.coalesce(F.col("start_us") - F.lag("start_us").over(w) > within_us, F.lit(True)).cast("long")
-    runs = words.withColumn("_new", new).withColumn("_run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    row = F.struct("start_us", "end_us", "o", "w")
+    narrow = words.select("src", word, "start_us", "end_us", "o").repartition("src", word)
+    begins = F.coalesce(F.col("start_us") - F.lag("start_us").over(w) > within_us, F.lit(True))
+    runs = narrow.withColumn("_new", begins).withColumn("_run", F.last(F.when(F.col("_new"), F.col("start_us")), True).over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    # half of the words or fewer where they come twice; both parts below are read from it
+    left = stored(runs.filter(F.col("_new") | (F.col("start_us") - F.col("_run") > within_us)), "runs")
+    row = F.struct("start_us", "end_us", "o")
     kept = F.aggregate(
         F.array_sort(F.collect_list(row)),
-        F.expr("cast(array() as array<struct<start_us:bigint,end_us:bigint,o:bigint,w:string>>)"),
+        F.expr("cast(array() as array<struct<start_us:bigint,end_us:bigint,o:bigint>>)"),
         lambda acc, x: F.when((F.size(acc) == 0) | (x["start_us"] - F.try_element_at(acc, F.lit(-1))["start_us"] > within_us), F.concat(acc, F.array(x))).otherwise(acc),
     )
-    return runs.groupBy("src", word, "_run").agg(kept.alias("_k")).select("src", word, F.explode("_k").alias("x")).select("src", word, "x.*")
+    folded = left.filter("not _new").groupBy("src", word, "_run").agg(kept.alias("_k")).select("src", word, F.explode("_k").alias("x")).select("src", word, "x.*")
+    return left.filter("_new").select("src", word, "start_us", "end_us", "o").unionByName(folded)
 
 
 #: The score presets, as weights of features.

@@ -253,3 +253,24 @@ def test_nearest_keep_over_slices_equals_the_plain_search(spark):
         own = [(0 if a <= t < b else a - t if t < a else t - b + 1000, i, t if a <= t < b else a if t < a else b - 1000) for s, i, a, b in keeps if s == src]
         dist, i, snapped = min(own, default=(None, None, t))
         assert got[src, o] == (i, dist, snapped), (src, t)
+
+
+def test_dedupe_in_time_folds_only_what_outlasts_a_runs_start(spark, monkeypatch):
+    from tempora.operators import ranking
+
+    draw = random.Random(12)
+    rows = [(s, n, a, a + draw.choice([0, 1]), o, n) for o, (s, n, a) in enumerate((draw.choice("st"), draw.choice("abc"), draw.randint(0, 12_000)) for _ in range(1500))]
+    rows += [("far", "x", k * 400, k * 400, 2000 + k, "x") for k in range(200)] + [("far", "x", k * 400 + 20, k * 400 + 20, 2200 + k, "x") for k in range(200)]
+    kept, went = [], {}
+    for s, n, a, b, o, _ in sorted(rows):
+        if (s, n) not in went or a - went[s, n] > 25:
+            kept.append((s, n, a, o))
+            went[s, n] = a
+    seen = []
+    monkeypatch.setattr(ranking, "stored", lambda df, name: seen.append(df) or df)
+    df = spark.createDataFrame(rows, "src string, norm string, start_us long, end_us long, o long, w string").repartition("src")
+    found = ranking.dedupe_in_time(df, "norm", 25)
+    assert sorted((r.src, r.norm, r.start_us, r.o) for r in found.collect()) == sorted(kept)
+    # of pairs that lie apart the second goes at once, nothing is folded; and one long source is dealt by its words
+    assert seen[0].filter("src = 'far'").count() == 200 and seen[0].filter("src = 'far' and not _new").count() == 0
+    assert "hashpartitioning(src" in (plan := seen[0]._jdf.queryExecution().toString()) and ", norm#" in plan.split("hashpartitioning(src", 1)[1].split(")", 1)[0]
