@@ -45,6 +45,13 @@ PLAIN = regex.compile(r"[!-~\u00a1-\u012f\u0131-\u024f\u0391-\u03a1\u03a4-\u03ff
 LETTER, NUMBER, OTHER, BLANK, RAW = range(1, 6)
 
 
+class Known(dict):
+    """Numbers of words; -1 for those that are not known, so each is looked up once."""
+
+    def __missing__(self, word: str) -> int:
+        return -1
+
+
 class Words:
     """Token ids of texts by a lower-casing word-level BPE tokenizer, remembering words.
 
@@ -84,7 +91,7 @@ class Words:
         self.forget()
 
     def forget(self) -> None:
-        self.words: dict[str, int] = {}
+        self.words = Known()
         #: Ids of all known words, end to end; where each word's begin; how many they are.
         self.pool, self.begin, self.size = np.zeros(0, "<u2"), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
@@ -142,12 +149,12 @@ class Words:
             edge = np.zeros(len(data) + 1, np.int8)
             np.add.at(edge, first, 1)
             np.add.at(edge, ends[chunk], -1)
-            raw = np.cumsum(edge[:-1]) > 0
+            raw = np.cumsum(edge[:-1], dtype=np.int8) > 0
             kind[raw], small[raw] = RAW, data[raw]
         begin = np.concatenate([[True], kind[1:] != kind[:-1]]) | ((kind == NUMBER) & ((data & 0xC0) != 0x80))
         left = ~blank
         at = np.flatnonzero(begin & left)
-        count = np.cumsum(left)
+        count = np.cumsum(left, dtype=np.int32 if len(data) < 1 << 31 else np.int64)
         return small[left], count[at] - 1, raw[at], count
 
     def encode(self, texts: pa.StringArray) -> tuple[np.ndarray, np.ndarray]:
@@ -161,16 +168,22 @@ class Words:
         offsets = np.concatenate([begin, [len(data)]]).astype(np.int64)
         pieces = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(offsets), pa.py_buffer(data)).dictionary_encode()
         which = np.asarray(pieces.indices)
-        words = pieces.dictionary.to_pylist()
-        chunk = np.zeros(len(words), bool)
-        chunk[which] = raw
-        new = [(w, c) for w, c in zip(words, chunk.tolist(), strict=True) if w not in self.words]
-        self.learn_words([w for w, c in new if not c and len(w) <= LONG])
-        self.learn_chunks([w for w, c in new if c and len(w) <= LONG])
-        kept, long = (len(self.size), len(self.pool)), [w for w, _ in new if len(w) > LONG]
-        self.learn_words([w for w, c in new if not c and len(w) > LONG])
-        self.learn_chunks([w for w, c in new if c and len(w) > LONG])
-        number = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))[which]
+        words = pieces.dictionary.to_numpy(zero_copy_only=False).tolist()
+        known = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
+        new = np.flatnonzero(known < 0)
+        kept = len(self.size), len(self.pool)
+        long = []
+        if len(new):
+            chunk = np.zeros(len(words), bool)
+            chunk[which] = raw
+            unknown = [(words[k], c) for k, c in zip(new.tolist(), chunk[new].tolist(), strict=True)]
+            self.learn_words([w for w, c in unknown if not c and len(w) <= LONG])
+            self.learn_chunks([w for w, c in unknown if c and len(w) <= LONG])
+            kept, long = (len(self.size), len(self.pool)), [w for w, _ in unknown if len(w) > LONG]
+            self.learn_words([w for w, c in unknown if not c and len(w) > LONG])
+            self.learn_chunks([w for w, c in unknown if c and len(w) > LONG])
+            known[new] = [self.words[w] for w, _ in unknown]
+        number = known[which]
         size = self.size[number]
         ends = np.cumsum(size)
         flat = self.pool[np.repeat(self.begin[number] - (ends - size), size) + np.arange(int(size.sum()))]

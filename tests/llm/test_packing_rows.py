@@ -80,3 +80,34 @@ def test_similar_documents_meet_wherever_they_lie(spark):
     for r in out:
         seqs.setdefault(r.sequence_id, set()).add(r.doc_id % len(subjects))
     assert sum(map(len, seqs.values())) / len(seqs) < 2.5
+
+
+def test_a_known_word_is_looked_up_once():
+    """Each distinct word of a slice costs one look-up once it is known; ids are those of the tokenizer."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from tempora.llm import packing, queries
+
+    words = packing.Words(queries.tokenizer_json())
+    asked = []
+
+    class Counting(packing.Known):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word) if word in self.keys() else -1
+
+        def __contains__(self, word):
+            asked.append(word)
+            return super().__contains__(word)
+
+    texts = ["The cat and the Cat, \u0130stanbul x" + "y" * 90, "", "the \u0130stanbul cat 42 it's"]
+    whole = Tokenizer.from_str(queries.tokenizer_json())
+    want = [e.ids + [packing.END] for e in whole.encode_batch(texts, add_special_tokens=False)]
+    words.words = Counting()
+    for _ in range(2):
+        asked.clear()
+        ids, size = words.encode(pa.array(texts))
+        assert [len(w) for w in want] == size.tolist() and ids.tolist() == sum(want, [])
+    known = [w for w in asked if len(w) <= packing.LONG]
+    assert len(known) == len(set(known))
